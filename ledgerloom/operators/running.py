@@ -14,6 +14,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import stored
+
 ROWS_SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 ROWS_BEFORE = (Window.unboundedPreceding, -1)
 
@@ -25,11 +27,16 @@ def running_total(
     value: str,
     out: str,
     levels: Sequence[str] = (),
+    store: bool = True,
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the key's rows up to the current one.
 
     ``order`` must be unique within a key, otherwise the result depends on chance.  Null
     values count as zero.  Null keys form a group of their own.
+
+    The rows are needed twice, for the chunk totals and for the result.  Where the cluster
+    names a shared folder they are stored there first, so that the input is not worked out
+    twice; ``store=False`` turns that off, as is right for a plain table.
     """
     keys, order, levels = list(keys), list(order), list(levels)
     measured = F.coalesce(F.col(value), F.lit(0))
@@ -38,14 +45,15 @@ def running_total(
         return df.withColumn(out, F.sum(measured).over(so_far))
 
     # Null fields of equal structs compare as equal, which keeps null keys in the join.
-    chunk = F.struct(*keys, *levels)
-    totals = df.groupBy(*keys, *levels).agg(F.sum(measured).alias("_total"))
-    totals = running_total(totals, keys, levels, "_total", "_upto", levels[:-1])
-    before = totals.select(chunk.alias("_chunk"), (F.col("_upto") - F.col("_total")).alias("_before"))
-
     so_far = Window.partitionBy("_chunk").orderBy(*order).rowsBetween(*ROWS_SO_FAR)
+    rows = stored(df) if store else df
+    totals = rows.groupBy(*keys, *levels).agg(F.sum(measured).alias("_total"))
+    totals = running_total(totals, keys, levels, "_total", "_upto", levels[:-1], store=False)
+    before = totals.select(
+        F.struct(*keys, *levels).alias("_chunk"), (F.col("_upto") - F.col("_total")).alias("_before")
+    )
     return (
-        df.withColumn("_chunk", chunk)
+        rows.withColumn("_chunk", F.struct(*keys, *levels))
         .withColumn("_within", F.sum(measured).over(so_far))
         .join(before, "_chunk")
         .withColumn(out, F.col("_within") + F.col("_before"))

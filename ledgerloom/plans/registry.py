@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import retail
+from . import almanac, captures, panel, retail
 
-AREAS = (retail,)
+AREAS = (retail, panel, captures, almanac)
 
 QUERIES = {name: query for area in AREAS for name, query in area.QUERIES.items()}
 ORACLES = {name: sql for area in AREAS for name, sql in area.ORACLES.items()}

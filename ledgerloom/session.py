@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", app: str = "ledgerloom") -> SparkSession:
@@ -21,3 +21,11 @@ def local_session(cores: str = "8", app: str = "ledgerloom") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str | None:
     """Folder all executors can reach, as named by the cluster in ``spark.checkpoint.dir``."""
     return spark.conf.get("spark.checkpoint.dir", None)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write an intermediate result to the shared folder and go on from there.
+
+    Nothing is stored where no shared folder is named; the plan then stays in one piece.
+    """
+    return df.checkpoint() if shared_folder(df.sparkSession) else df
