@@ -30,7 +30,9 @@ def area_under_roc(df: DataFrame, label: str, probability: str) -> DataFrame:
     scores = df.groupBy(F.col(probability).alias("score")).agg(
         F.count_if(positive).alias("positives"), F.count_if(~positive).alias("negatives")
     )
-    upto = running_total(with_value_levels(scores, "score"), [], ["score"], "negatives", "_upto", VALUE_LEVELS)
+    # Both uses of the counts read the same shuffle, so nothing needs storing.
+    placed = with_value_levels(scores, "score")
+    upto = running_total(placed, [], ["score"], "negatives", "_upto", VALUE_LEVELS, store=False)
     below = F.col("_upto") - F.col("negatives") / 2
     pairs = F.sum("positives").cast("double") * F.sum("negatives")
     return upto.agg(F.try_divide(F.sum(F.col("positives") * below), pairs).alias("auc"))
@@ -64,9 +66,10 @@ def shuffled_batches(df: DataFrame, key: str, seed: int, size: int = 32) -> Data
     """Number the rows in a random but repeatable order and cut them into batches.
 
     The order is that of a hash of the (unique) key, so its leading digits split the rows evenly.
+    ``df`` is read twice; store it first if it is costly to work out.
     """
     mixed = df.withColumn("_hash", F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(seed).cast("string"))))
     levels = mixed.withColumn("_two", F.substring("_hash", 1, 2)).withColumn("_four", F.substring("_hash", 1, 4))
-    placed = numbered(levels, ["_hash", key], "position", ["_two", "_four"])
+    placed = numbered(levels, ["_hash", key], "position", ["_two", "_four"], store=False)
     batch = F.floor((F.col("position") - 1) / size)
     return placed.withColumn("batch", batch).drop("_hash", "_two", "_four")

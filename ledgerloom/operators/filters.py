@@ -31,7 +31,7 @@ def in_date_range(day: Column, first, last) -> Column:
 def with_threshold(df: DataFrame, column: str, thresholds: Mapping[str, object], out: str) -> DataFrame:
     """Keep rows whose ``column`` is listed and add the threshold that goes with it."""
     rows = [(name, Decimal(str(value))) for name, value in thresholds.items()]
-    table = parameter_table(df.sparkSession, rows, f"`{column}` string, `{out}` decimal(18,2)")
+    table = parameter_table(df.sparkSession, rows, {column: "string", out: "decimal(18,2)"})
     if len(thresholds) <= MAX_BROADCAST_ROWS:
         # Lets the scan skip what the join would drop anyway.
         df = df.filter(F.col(column).isin(list(thresholds)))

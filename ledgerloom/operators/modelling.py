@@ -46,7 +46,7 @@ def vector_entries(df: DataFrame, keys: Sequence[str], vector: str) -> DataFrame
     return df.select(*keys, F.posexplode(vector_to_array(F.col(vector))).alias("position", "value")).filter("value <> 0")
 
 
-def text_pipeline(text: str, out: str = "vector", dimensions: int = 4096) -> Pipeline:
+def text_pipeline(text: str, out: str = "vector", dimensions: int = 256) -> Pipeline:
     """Unit vectors of term weights, for similarity where no encoder is at hand."""
     return Pipeline(
         stages=[

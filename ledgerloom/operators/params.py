@@ -10,7 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 MAX_BROADCAST_ROWS = 10_000
 
 
-def parameter_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A list from the caller as a table, marked for broadcast if it is short."""
-    table = spark.createDataFrame(list(rows), schema)
-    return F.broadcast(table) if len(rows) <= MAX_BROADCAST_ROWS else table
+def parameter_table(spark: SparkSession, rows: Sequence[tuple], columns: dict[str, str]) -> DataFrame:
+    """A list from the caller as a table with the given columns and types.
+
+    A short list becomes part of the plan and is marked for broadcast.
+    """
+    if len(rows) > MAX_BROADCAST_ROWS:
+        return spark.createDataFrame(list(rows), ", ".join(f"`{c}` {t}" for c, t in columns.items()))
+    fields = list(columns.items())
+    structs = [F.struct(*[F.lit(v).cast(t).alias(c) for v, (c, t) in zip(row, fields)]) for row in rows]
+    return F.broadcast(spark.range(1).select(F.inline(F.array(*structs))))

@@ -60,7 +60,8 @@ def quantiles(df: DataFrame, columns: Sequence[str], points: Sequence[float] = Q
         .filter("x is not null")
     )
     counts = long.groupBy("column_name", "x").agg(F.count("*").alias("n"))
-    upto = running_total(with_value_levels(counts, "x"), ["column_name"], ["x"], "n", "upto", VALUE_LEVELS)
+    # Both uses of the counts read the same shuffle, so nothing needs storing.
+    upto = running_total(with_value_levels(counts, "x"), ["column_name"], ["x"], "n", "upto", VALUE_LEVELS, store=False)
     # One row per column: bounded by the number of columns.
     sizes = long.groupBy("column_name").agg(F.count("*").alias("n_values"))
     asked = F.explode(F.array(*[F.lit(float(p)) for p in points]))

@@ -32,7 +32,8 @@ Mapping = Sequence[tuple[int, int, str, str]]
 
 
 def _mapping_table(long: DataFrame, mapping: Mapping) -> DataFrame:
-    return parameter_table(long.sparkSession, mapping, "year_from int, year_to int, _label string, metric string")
+    columns = {"year_from": "int", "year_to": "int", "_label": "string", "metric": "string"}
+    return parameter_table(long.sparkSession, mapping, columns)
 
 
 def map_headings(long: DataFrame, mapping: Mapping) -> DataFrame:

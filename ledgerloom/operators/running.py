@@ -105,9 +105,10 @@ def running_summary(
     return chunks
 
 
-def numbered(df: DataFrame, order: Sequence[str], out: str, levels: Sequence[str]) -> DataFrame:
+def numbered(df: DataFrame, order: Sequence[str], out: str, levels: Sequence[str], store: bool = True) -> DataFrame:
     """Number all rows from 1 in a given unique order, without one task seeing them all."""
-    return running_total(df.withColumn("_one", F.lit(1).cast("bigint")), [], order, "_one", out, levels).drop("_one")
+    ones = df.withColumn("_one", F.lit(1).cast("bigint"))
+    return running_total(ones, [], order, "_one", out, levels, store).drop("_one")
 
 
 VALUE_LEVELS = ("_coarse", "_fine")

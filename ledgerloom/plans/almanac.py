@@ -10,8 +10,7 @@ from ..functions.text import (
 )
 from ..sources.calendar import month_days
 from ..sources.html import entries, page_items
-from ..sources.tables import table
-from .common import report
+from .common import given, report
 
 # Parameters of the registered search.
 FIRST_DAY, LAST_DAY = "January 5", "January 20"
@@ -31,7 +30,7 @@ def search(events: DataFrame, first_day: str, last_day: str, first_year: int, la
 
 
 def dated_events(spark, folder) -> DataFrame:
-    return table(spark, folder, "events").select(
+    return given(spark, folder, "events").select(
         F.col("event_id").alias("id"),
         month_day_name(F.col("ts")).alias("date"),
         F.year("ts").alias("year"),
@@ -56,7 +55,7 @@ def valid_month_days(spark, folder):
 
 
 def _entries(spark, folder) -> DataFrame:
-    return entries(page_items(table(spark, folder, "pages")))
+    return entries(page_items(given(spark, folder, "pages")))
 
 
 def page_entries(spark, folder):
@@ -78,7 +77,7 @@ def entry_links(spark, folder):
 
 def link_slots(spark, folder):
     """Flat export with 20 tags and 20 links; the page's own date is blanked."""
-    dates = table(spark, folder, "pages").select("page_id", url_tag(F.col("url")).alias("date"))
+    dates = given(spark, folder, "pages").select("page_id", url_tag(F.col("url")).alias("date"))
     dated = _entries(spark, folder).join(dates, "page_id")
     first = F.slice("links", 1, MAX_LINKS)
     kept = dated.withColumn("links", blank_own_date(first, F.col("date")))
@@ -87,7 +86,7 @@ def link_slots(spark, folder):
 
 def signed_years(spark, folder):
     """Every line of every document read as an entry; lines without a digit drop out."""
-    lines = table(spark, folder, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    lines = given(spark, folder, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     text = strip_citations(F.col("line"))
     dated = lines.select("doc_id", "line_no", text.alias("text")).filter(F.col("text").rlike("[0-9]"))
     return report(

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.dates import ANCHOR_DATE, ANCHOR_SOL, EARTH_DAYS_PER_SOL, mission_sol, week_start
 from ..operators.filters import filter_if_any, in_date_range, trailing_window as last_units
 from ..sources.nested import flatten_photos, parse_photo_page
-from ..sources.tables import absent_rows, table
-from .common import report
+from ..sources.tables import absent_rows
+from .common import given, report
 
 # Parameters of the registered queries.
 TRAILING_SOLS = 15
@@ -23,7 +23,7 @@ LAUNCHED, LANDED = "2011-11-26", "2012-08-06"
 
 
 def captures(spark, folder) -> DataFrame:
-    events = table(spark, folder, "events")
+    events = given(spark, folder, "events")
     start = events.agg(F.to_date(F.min("ts"))).scalar()
     day = F.to_date("ts")
     return events.select(

@@ -9,8 +9,7 @@ from ..operators.evaluation import binary_metrics
 from ..operators.modelling import (
     as_categories, fit_features, positive_probability, text_pipeline, train_classifier, vector_entries,
 )
-from ..sources.tables import table
-from .common import report
+from .common import given, report
 from .profiling import LABELLED_SQL, labelled
 
 # Parameters of the registered queries.
@@ -28,7 +27,7 @@ def one_hot_features(spark, folder):
 
 def text_vectors(spark, folder):
     """Number of terms, length and largest weight of each document's vector."""
-    documents = table(spark, folder, "documents").select("doc_id", "text")
+    documents = given(spark, folder, "documents").select("doc_id", "text")
     vectors = text_pipeline("text").fit(documents).transform(documents)
     weights = vectors.select("doc_id", vector_to_array("vector").alias("v"))
     entries = weights.select("doc_id", F.filter("v", lambda x: x != 0).alias("v"))

@@ -19,8 +19,7 @@ from ..operators.reshape import (
     stack,
     wide_to_long as melt,
 )
-from ..sources.tables import table
-from .common import report
+from .common import given, report
 
 # Parameters of the registered queries.
 COUNTIES = [f"NATION_{i}" for i in range(25)]
@@ -40,7 +39,7 @@ COMPARED_YEARS = (2000, 2001)
 def customer_years(spark, folder) -> DataFrame:
     """Orders and revenue per customer and year."""
     return (
-        table(spark, folder, "orders")
+        given(spark, folder, "orders")
         .groupBy(F.col("o_custkey").alias("customer"), F.year("o_orderdate").alias("year"))
         .agg(F.count("*").alias("orders"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("revenue"))
     )
@@ -48,9 +47,9 @@ def customer_years(spark, folder) -> DataFrame:
 
 def county_years(spark, folder) -> DataFrame:
     """Orders and revenue per county and year."""
-    nations = table(spark, folder, "nation")
+    nations = given(spark, folder, "nation")
     homes = (
-        table(spark, folder, "customer")
+        given(spark, folder, "customer")
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(F.col("c_custkey").alias("customer"), F.col("n_name").alias("county"))
     )
@@ -117,7 +116,7 @@ def balanced_panel(spark, folder):
 
 
 def key_set_difference(spark, folder):
-    pairs = table(spark, folder, "orders").select(
+    pairs = given(spark, folder, "orders").select(
         F.col("o_custkey").alias("customer"), F.year("o_orderdate").alias("year")
     )
     first, second = COMPARED_YEARS
@@ -125,7 +124,7 @@ def key_set_difference(spark, folder):
 
 
 def columns_numbered(spark, folder):
-    return report(number_columns(table(spark, folder, "lineitem")))
+    return report(number_columns(given(spark, folder, "lineitem")))
 
 
 def panel_counts(spark, folder):

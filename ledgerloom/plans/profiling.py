@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.evaluation import binary_metrics, shuffled_batches as batches
 from ..operators.profile import describe, histogram, label_rate, value_counts as counts
-from ..sources.tables import table
-from .common import report
+from .common import given, report
 
 # Parameters of the registered queries.
 DESCRIBED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -20,22 +19,22 @@ DIGITS = 6
 
 def labelled(spark, folder) -> DataFrame:
     """Labelled documents with their attributes, without the text."""
-    documents = table(spark, folder, "documents").select("doc_id", "lang", "source", "n_chars")
-    return table(spark, folder, "labels").join(documents, "doc_id")
+    documents = given(spark, folder, "documents").select("doc_id", "lang", "source", "n_chars")
+    return given(spark, folder, "labels").join(documents, "doc_id")
 
 
 def describe_numeric(spark, folder):
-    out = describe(table(spark, folder, "lineitem"), DESCRIBED)
+    out = describe(given(spark, folder, "lineitem"), DESCRIBED)
     numbers = [F.round(F.col(c), DIGITS).alias(c) for c in out.columns[2:]]
     return report(out.select("column_name", "n", *numbers))
 
 
 def value_counts(spark, folder):
-    return report(counts(table(spark, folder, "documents"), "source"))
+    return report(counts(given(spark, folder, "documents"), "source"))
 
 
 def histogram20(spark, folder):
-    out = histogram(table(spark, folder, "lineitem"), "l_extendedprice", BINS)
+    out = histogram(given(spark, folder, "lineitem"), "l_extendedprice", BINS)
     return report(out.select("bin", F.round("bin_from", 4).alias("bin_from"), F.round("bin_to", 4).alias("bin_to"), "n"))
 
 
@@ -45,7 +44,7 @@ def label_rate_by_group(spark, folder):
 
 
 def shuffled_batches(spark, folder):
-    placed = batches(table(spark, folder, "labels").select("doc_id"), "doc_id", SEED, BATCH)
+    placed = batches(given(spark, folder, "labels").select("doc_id"), "doc_id", SEED, BATCH)
     return report(placed.select("doc_id", "position", "batch"))
 
 

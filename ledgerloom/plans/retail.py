@@ -18,8 +18,7 @@ from ..functions.dates import month_start
 from ..operators.filters import suffix_or_equal, with_threshold
 from ..operators.ranking import share_of_total, top_k
 from ..operators.running import running_summary, running_total
-from ..sources.tables import table
-from .common import report
+from .common import given, report
 
 MONEY = "decimal(18,2)"
 # Columns that make the order of lines unique.
@@ -45,7 +44,7 @@ Filters = Mapping[str, Column]
 
 
 def _filtered(spark: SparkSession, folder: str, name: str, filters: Filters) -> DataFrame:
-    df = table(spark, folder, name)
+    df = given(spark, folder, name)
     return df.filter(filters[name]) if name in filters else df
 
 
@@ -59,7 +58,7 @@ def invoices(spark: SparkSession, folder: str, columns: Sequence[str], filters:
     if "Country" in columns or "nation" in filters:
         how = "inner" if "nation" in filters else "left"
         customers = (
-            table(spark, folder, "customer")
+            given(spark, folder, "customer")
             .join(_filtered(spark, folder, "nation", filters), F.col("c_nationkey") == F.col("n_nationkey"), how)
             .select(F.col("c_custkey").alias("customer_key"), F.col("n_name").alias("Country"))
         )
@@ -219,8 +218,8 @@ def customer_revenue(spark, folder) -> DataFrame:
         .groupBy("customer_key")
         .agg(F.sum("revenue").alias("revenue"))
     )
-    nations = table(spark, folder, "nation").select(F.col("n_nationkey"), F.col("n_name").alias("Country"))
-    customers = table(spark, folder, "customer").select(F.col("c_custkey").alias("customer_key"), "c_nationkey")
+    nations = given(spark, folder, "nation").select(F.col("n_nationkey"), F.col("n_name").alias("Country"))
+    customers = given(spark, folder, "customer").select(F.col("c_custkey").alias("customer_key"), "c_nationkey")
     homes = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left").select("customer_key", "Country")
     return per_customer.join(homes, "customer_key", "left").select(
         "customer_key",

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import arrays as A
 from ..operators.evaluation import regression_error as errors
+from ..operators.scoring import Layer, forward
 from ..operators.similarity import most_similar as best_match, score_against_row
-from ..sources.tables import table
-from .common import report
+from .common import given, report
 from .retail import MONEY
 
 # Parameters of the registered queries: the query vector and the shape of the network.
@@ -17,24 +17,20 @@ INPUTS, HIDDEN, CLASSES = 64, 16, 10
 DIGITS = 6
 
 
-def layer(neurons: int, inputs: int) -> tuple[list[list[float]], list[float]]:
+def layer(neurons: int, inputs: int, relu: bool = False) -> Layer:
     """Example weights between -0.5 and 0.5, set by a rule, and rising biases."""
     weights = [[((7 * i + 13 * j) % 11 - 5) / 10 for i in range(inputs)] for j in range(neurons)]
-    return weights, [j / 10 for j in range(neurons)]
+    return Layer(weights, [j / 10 for j in range(neurons)], relu)
 
 
 def vectors(spark, folder) -> DataFrame:
-    return table(spark, folder, "embeddings").withColumn("x", A.doubles(F.col("embedding"))).drop("embedding")
+    return given(spark, folder, "embeddings").withColumn("x", A.doubles(F.col("embedding"))).drop("embedding")
 
 
 def logits(spark, folder) -> DataFrame:
     """Two dense layers with ReLU between them."""
-    hidden = A.relu(A.dense(F.col("x"), *layer(HIDDEN, INPUTS)))
-    return (
-        vectors(spark, folder)
-        .select("vec_id", "label", hidden.alias("hidden"))
-        .select("vec_id", "label", A.dense(F.col("hidden"), *layer(CLASSES, HIDDEN)).alias("logits"))
-    )
+    network = [layer(HIDDEN, INPUTS, relu=True), layer(CLASSES, HIDDEN)]
+    return forward(given(spark, folder, "embeddings"), "embedding", network, "logits").select("vec_id", "label", "logits")
 
 
 def probabilities(spark, folder) -> DataFrame:
@@ -121,8 +117,8 @@ def classification_accuracy(spark, folder):
 
 def regression_error(spark, folder):
     """List price times quantity as a prediction of the price charged for a line."""
-    parts = table(spark, folder, "part").select("p_partkey", F.col("p_retailprice").cast(MONEY).alias("price"))
-    lines = table(spark, folder, "lineitem").select(
+    parts = given(spark, folder, "part").select("p_partkey", F.col("p_retailprice").cast(MONEY).alias("price"))
+    lines = given(spark, folder, "lineitem").select(
         "l_partkey", F.col("l_quantity").cast("int").alias("quantity"), F.col("l_extendedprice").cast(MONEY).alias("charged")
     )
     priced = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))

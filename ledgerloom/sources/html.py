@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 from urllib.parse import urljoin
 
 import pandas as pd
@@ -24,90 +24,89 @@ LISTS_PER_PAGE = 9
 FIRST_BIRTH_LIST = 3
 FIRST_DEATH_LIST = 6
 
+# What is never shown is one token, list and link tags are the others; all else is left to the text in between.
+_TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)"""
+    r"""|<(?P<silent>script|style|template|textarea|title)\b.*?(?:</(?P=silent)\s*>|\Z)"""
+    r"""|<(?P<end>/?)(?P<tag>ul|li|a)(?=[\s/>])(?P<attributes>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""",
+    re.DOTALL | re.IGNORECASE,
+)
+_HREF = re.compile(r"""(?:^|\s)href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
+_OTHER_TAG = re.compile(r"</?[a-zA-Z!?](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
 _SPACE = re.compile(r"\s+")
-_SILENT = {"script", "style", "template"}
 
 
 def _tidy(parts: list[str]) -> str:
-    return _SPACE.sub(" ", "".join(parts)).strip()
+    return _SPACE.sub(" ", unescape(_OTHER_TAG.sub("", "".join(parts)))).strip()
 
 
-class _Items(HTMLParser):
-    """Collects (list number, text parts, anchors) of each list item.
+def list_items(html: str, base: str | None = None) -> list[tuple[int, int, str, list[dict]]]:
+    """(list number, item number in the list, text, links) in page order, links made absolute.
 
-    An item of a nested list belongs to its own list and to every list around it.
+    An item of a nested list belongs to its own list and to every list around it.  Items and
+    links left open end where the next one of the same list begins, as in a browser.
     """
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.n_lists = 0
-        self.open: list[tuple[str, object]] = []  # ("ul", number) or ("li", item)
-        self.anchor: tuple[str, list[str]] | None = None
-        self.silent = 0
-        self.items: list[tuple[list[int], list[str], list[tuple[str, str]]]] = []
-
-    def _inside(self, kind: str) -> list:
-        return [thing for tag, thing in self.open if tag == kind]
-
-    def handle_starttag(self, tag, attrs):
-        if tag in _SILENT:
-            self.silent += 1
-        elif tag == "ul":
-            self.open.append(("ul", self.n_lists))
-            self.n_lists += 1
-        elif tag == "li":
-            # HTML lets an item end where the next one of the same list begins.
-            if self.open and self.open[-1][0] == "li":
-                self.open.pop()
-            lists = self._inside("ul")
+    html = html or ""
+    items: list[tuple[list[int], list[str], list[dict]]] = []
+    opened: list[tuple[str, object]] = []  # ("ul", list number) or ("li", item)
+    anchor: tuple[str, list[str]] | None = None
+    n_lists = 0
+    place = 0
+
+    def inside(kind: str) -> list:
+        return [thing for tag, thing in opened if tag == kind]
+
+    def end_anchor() -> None:
+        nonlocal anchor
+        if anchor:
+            href, parts = anchor
+            anchor = None
+            link = {"text": _tidy(parts), "url": urljoin(base, href) if base else href}
+            for _, _, links in inside("li"):
+                links.append(link)
+
+    for token in _TOKEN.finditer(html):
+        if opened or anchor:
+            shown = html[place : token.start()]
+            for _, parts, _ in inside("li"):
+                parts.append(shown)
+            if anchor:
+                anchor[1].append(shown)
+        place = token.end()
+        tag = (token["tag"] or "").lower()
+        if not tag:
+            continue
+        if tag == "a":
+            end_anchor()
+            href = None if token["end"] else _HREF.search(token["attributes"])
+            if href:
+                anchor = (unescape(next(g for g in href.groups() if g is not None)), [])
+        elif not token["end"]:
+            if tag == "ul":
+                opened.append(("ul", n_lists))
+                n_lists += 1
+                continue
+            if opened and opened[-1][0] == "li":
+                end_anchor()
+                opened.pop()
+            lists = inside("ul")
             if lists:
-                item = (lists, [], [])
-                self.items.append(item)
-                self.open.append(("li", item))
-        elif tag == "a":
-            self._close_anchor()
-            href = dict(attrs).get("href")
-            if href is not None:
-                self.anchor = (href, [])
-
-    def handle_endtag(self, tag):
-        if tag in _SILENT:
-            self.silent = max(0, self.silent - 1)
-        elif tag == "a":
-            self._close_anchor()
-        elif tag in ("ul", "li") and self._inside(tag):
-            if tag == "li" and self.open[-1][0] == "ul":
-                return  # an item cannot end while a list inside it is open
-            while self.open.pop()[0] != tag:
+                items.append((lists, [], []))
+                opened.append(("li", items[-1]))
+        elif inside(tag) and not (tag == "li" and opened[-1][0] == "ul"):
+            # An item cannot end while a list inside it is open.
+            end_anchor()
+            while opened.pop()[0] != tag:
                 pass
+    for _, parts, _ in inside("li"):
+        parts.append(html[place:])
 
-    def handle_data(self, data):
-        if self.silent:
-            return
-        for _, parts, _ in self._inside("li"):
-            parts.append(data)
-        if self.anchor:
-            self.anchor[1].append(data)
-
-    def _close_anchor(self) -> None:
-        if self.anchor:
-            href, parts = self.anchor
-            for _, _, anchors in self._inside("li"):
-                anchors.append((_tidy(parts), href))
-            self.anchor = None
-
-
-def list_items(html: str, base: str | None = None) -> list[tuple[int, int, str, list[dict]]]:
-    """(list number, item number in the list, text, links) in page order, links made absolute."""
-    parser = _Items()
-    parser.feed(html or "")
-    parser.close()
     counts: dict[int, int] = {}
     found = []
-    for lists, parts, anchors in parser.items:
-        links = [{"text": text, "url": urljoin(base, href) if base else href} for text, href in anchors]
+    for lists, parts, links in items:
+        text = _tidy(parts)
         for number in lists:
-            found.append((number, counts.get(number, 0), _tidy(parts), links))
+            found.append((number, counts.get(number, 0), text, links))
             counts[number] = counts.get(number, 0) + 1
     return found
 

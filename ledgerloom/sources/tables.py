@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.ranking import first_per_key
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def table(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
     """One parquet table of a folder."""
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def read_jdbc(spark: SparkSession, options: Mapping[str, str], query: str) -> DataFrame:
