@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.arrays import clipped
-from .running import VALUE_LEVELS, numbered, running_total, with_value_levels
+from .running import ROWS_BEFORE, ROWS_SO_FAR, numbered, value_step
 
 # Decision threshold of the binary metrics.
 THRESHOLD = 0.5
@@ -24,18 +24,25 @@ def regression_error(df: DataFrame, actual: Column, predicted: Column) -> DataFr
 def area_under_roc(df: DataFrame, label: str, probability: str) -> DataFrame:
     """Share of (positive, negative) pairs ranked rightly, ties counted half; one row, ``auc``.
 
-    Rows are counted per distinct score first, then the negatives below each score are added up.
+    Rows are counted per distinct score first.  The negatives below a score are added up
+    within a step of the score range, then over the steps.
     """
     positive = F.col(label) == 1
     scores = df.groupBy(F.col(probability).alias("score")).agg(
         F.count_if(positive).alias("positives"), F.count_if(~positive).alias("negatives")
     )
-    # Both uses of the counts read the same shuffle, so nothing needs storing.
-    placed = with_value_levels(scores, "score")
-    upto = running_total(placed, [], ["score"], "negatives", "_upto", VALUE_LEVELS, store=False)
-    below = F.col("_upto") - F.col("negatives") / 2
+    within = Window.partitionBy("step").orderBy("score").rowsBetween(*ROWS_SO_FAR)
+    below = F.sum("negatives").over(within) - F.col("negatives") / 2
+    steps = (
+        scores.withColumn("step", value_step(F.col("score")))
+        .withColumn("won", F.col("positives") * below)
+        .groupBy("step")
+        .agg(F.sum("won").alias("won"), F.sum("positives").alias("positives"), F.sum("negatives").alias("negatives"))
+    )
+    earlier = F.coalesce(F.sum("negatives").over(Window.orderBy("step").rowsBetween(*ROWS_BEFORE)), F.lit(0))
+    won = F.col("won") + F.col("positives").cast("double") * F.col("_earlier")
     pairs = F.sum("positives").cast("double") * F.sum("negatives")
-    return upto.agg(F.try_divide(F.sum(F.col("positives") * below), pairs).alias("auc"))
+    return steps.withColumn("_earlier", earlier).agg(F.try_divide(F.sum(won), pairs).alias("auc"))
 
 
 def binary_metrics(df: DataFrame, label: str, probability: str, threshold: float = THRESHOLD) -> DataFrame:

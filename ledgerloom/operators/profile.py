@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from .running import VALUE_LEVELS, running_total, with_value_levels
+from .running import ROWS_SO_FAR, value_step
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -48,51 +48,57 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     )
 
 
+def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, x) for the filled cells of some numeric columns."""
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    return doubles.unpivot([], list(columns), "column_name", "x").filter("x is not null")
+
+
 def quantiles(df: DataFrame, columns: Sequence[str], points: Sequence[float] = QUARTILES) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per column and point.
 
-    Values are counted first (a map-side combine); the counts are then added up in value
-    order over buckets, so that no task has to hold all distinct values.
+    Values are counted first (a map-side combine).  Counts per step of the value range tell
+    in which step a rank lies; only the values of those few steps are sorted.
     """
-    long = (
-        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot([], list(columns), "column_name", "x")
-        .filter("x is not null")
-    )
-    counts = long.groupBy("column_name", "x").agg(F.count("*").alias("n"))
-    # Both uses of the counts read the same shuffle, so nothing needs storing.
-    upto = running_total(with_value_levels(counts, "x"), ["column_name"], ["x"], "n", "upto", VALUE_LEVELS, store=False)
-    # One row per column: bounded by the number of columns.
-    sizes = long.groupBy("column_name").agg(F.count("*").alias("n_values"))
+    counts = _long(df, columns).groupBy("column_name", "x").agg(F.count("*").alias("n"))
+    counts = counts.withColumn("step", value_step(F.col("x")))
+
+    by_step = Window.partitionBy("column_name").orderBy("step")
     asked = F.explode(F.array(*[F.lit(float(p)) for p in points]))
-    wanted = sizes.select("column_name", "n_values", asked.alias("point")).select(
-        "column_name", "point", (F.col("point") * (F.col("n_values") - 1)).alias("rank")
+    both_ends = F.explode(F.array(F.floor("rank"), F.ceil("rank")))
+    wanted = (
+        counts.groupBy("column_name", "step")
+        .agg(F.sum("n").alias("n"))
+        .withColumn("upto", F.sum("n").over(by_step.rowsBetween(*ROWS_SO_FAR)))
+        .withColumn("n_values", F.sum("n").over(Window.partitionBy("column_name")))
+        .withColumn("point", asked)
+        .withColumn("rank", F.col("point") * (F.col("n_values") - 1))
+        .withColumn("place", both_ends)
+        .withColumn("before", F.col("upto") - F.col("n"))
+        .filter((F.col("place") >= F.col("before")) & (F.col("place") < F.col("upto")))
+        .select("column_name", "step", "point", "rank", "place", "before")
+        .distinct()
     )
-    ranks = wanted.select("column_name", "point", "rank", F.floor("rank").alias("below"), F.ceil("rank").alias("above"))
-    # The value at rank r (from 0) is the smallest whose count so far exceeds r.
-    return (
-        upto.join(F.broadcast(ranks), "column_name")
-        .groupBy("column_name", "point", "rank", "below")
-        .agg(
-            F.min(F.when(F.col("upto") > F.col("below"), F.col("x"))).alias("x0"),
-            F.min(F.when(F.col("upto") > F.col("above"), F.col("x"))).alias("x1"),
-        )
-        .select(
-            "column_name",
-            "point",
-            (F.col("x0") + (F.col("x1") - F.col("x0")) * (F.col("rank") - F.col("below"))).alias("value"),
-        )
+    # At most two steps per column and point.
+    near = counts.join(F.broadcast(wanted), ["column_name", "step"])
+    by_value = Window.partitionBy("column_name", "point", "rank", "place").orderBy("x").rowsBetween(*ROWS_SO_FAR)
+    # The value at a place (from 0) is the smallest whose count so far exceeds it.
+    found = (
+        near.withColumn("upto", F.col("before") + F.sum("n").over(by_value))
+        .filter(F.col("upto") > F.col("place"))
+        .groupBy("column_name", "point", "rank", "place")
+        .agg(F.min("x").alias("x"))
+    )
+    low, high = F.min("x"), F.max("x")
+    part = F.col("rank") - F.floor("rank")
+    return found.groupBy("column_name", "point", "rank").agg(low.alias("low"), high.alias("high")).select(
+        "column_name", "point", (F.col("low") + (F.col("high") - F.col("low")) * part).alias("value")
     )
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles, maximum; one row per column."""
-    long = (
-        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot([], list(columns), "column_name", "x")
-        .filter("x is not null")
-    )
-    basic = long.groupBy("column_name").agg(
+    basic = _long(df, columns).groupBy("column_name").agg(
         F.count("*").alias("n"),
         F.avg("x").alias("mean"),
         F.stddev_samp("x").alias("std"),

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import stored
 
@@ -111,16 +111,17 @@ def numbered(df: DataFrame, order: Sequence[str], out: str, levels: Sequence[str
     return running_total(ones, [], order, "_one", out, levels, store).drop("_one")
 
 
-VALUE_LEVELS = ("_coarse", "_fine")
+# Steps per doubling of a number; all doubles together fall into fewer than 18 million steps.
+STEPS_PER_DOUBLING = 4096
 
 
-def with_value_levels(df: DataFrame, value: str) -> DataFrame:
-    """Add levels for an order by a number: steps of about 4 per cent, then of 0.001 per cent.
+def value_step(value: Column) -> Column:
+    """A whole number that grows with ``value``, in relative steps of about 0.02 per cent.
 
-    Relative steps keep the chunks even when a few values are very large or very small.
+    Cuts an order by a number into chunks that stay small even when a few values are very
+    large or very small.
     """
-    x = F.col(value).cast("double")
+    x = value.cast("double")
     # log2 of the smallest positive double is -1074.
     size = F.log2(F.nullif(F.abs(x), F.lit(0.0))) + 1075
-    place = F.coalesce(F.signum(x) * size, F.lit(0.0))
-    return df.withColumn("_coarse", F.floor(place * 16)).withColumn("_fine", F.floor(place * 65536))
+    return F.floor(F.coalesce(F.signum(x) * size, F.lit(0.0)) * STEPS_PER_DOUBLING)
