@@ -77,10 +77,8 @@ def entry_links(spark, folder):
 
 def link_slots(spark, folder):
     """Flat export with 20 tags and 20 links; the page's own date is blanked."""
-    dates = given(spark, folder, "pages").select("page_id", url_tag(F.col("url")).alias("date"))
-    dated = _entries(spark, folder).join(dates, "page_id")
-    first = F.slice("links", 1, MAX_LINKS)
-    kept = dated.withColumn("links", blank_own_date(first, F.col("date")))
+    dated = _entries(spark, folder).withColumn("date", url_tag(F.col("url")))
+    kept = dated.withColumn("links", blank_own_date(F.slice("links", 1, MAX_LINKS), F.col("date")))
     return report(kept.select("page_id", "list_no", "item_no", "date", "event_type", "text", *slots(F.col("links"))))
 
 

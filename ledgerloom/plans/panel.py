@@ -93,7 +93,7 @@ def stack_years(spark, folder):
 
 
 def _spelled(spark, folder) -> DataFrame:
-    """Long table whose headings are spelled differently over the years, one of them unknown to the mapping."""
+    """Long table whose headings are spelled differently over the years, with comment headings the mapping does not know."""
     year, metric = F.col("year"), F.col("metric")
     total = F.when(year < SECOND_VINTAGE, "Orders!!Estimate!!Total").otherwise("Estimate!!Orders!!Total")
     revenue = (
@@ -101,9 +101,9 @@ def _spelled(spark, folder) -> DataFrame:
         .when(year < THIRD_VINTAGE, "Estimate!!Orders MOE!!Revenue (dollars)")
         .otherwise("Estimate!!Orders!!Revenue (dollars)")
     )
-    long = county_metrics(spark, folder).withColumn("label", F.when(metric == "orders", total).otherwise(revenue))
-    unknown = long.withColumn("label", F.concat(F.lit("Comment!!"), F.col("label")))
-    return stack([long, unknown]).drop("metric")
+    label = F.when(metric == "orders", total).otherwise(revenue)
+    labels = F.explode(F.array(label, F.concat(F.lit("Comment!!"), label)))
+    return county_metrics(spark, folder).withColumn("label", labels).drop("metric")
 
 
 def header_mapping(spark, folder):

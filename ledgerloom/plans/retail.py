@@ -279,6 +279,8 @@ def monthly_cumulative(df: DataFrame, keys: Sequence[str], threshold: Column | N
     """
     daily = running_summary(_with_levels(df), keys, LINE_ORDER, "revenue", LEVELS)
     if threshold is not None:
+        # Picking items from a list of names leaves out lines without a name.
+        daily = daily.dropna(subset=list(keys))
         peak = F.max("running_max").over(Window.partitionBy(*keys))
         daily = daily.withColumn("_peak", peak).filter(F.col("_peak") > threshold)
     monthly = (

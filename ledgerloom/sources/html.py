@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.text import is_link_text, strip_citations, url_tag
 
 ENTRY_SCHEMA = (
-    "page_id bigint, list_no int, item_no int, raw_text string, anchors array<struct<text: string, url: string>>"
+    "page_id bigint, url string, list_no int, item_no int, raw_text string, "
+    "anchors array<struct<text: string, url: string>>"
 )
 # Fixed layout of a date page: the first nine lists hold three lists each of events, births, deaths.
 LISTS_PER_PAGE = 9
@@ -115,10 +116,10 @@ def page_items(pages: DataFrame) -> DataFrame:
     """Raw list items of ``pages(page_id, url, html)``."""
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["page_id", "list_no", "item_no", "raw_text", "anchors"]
+        names = ["page_id", "url", "list_no", "item_no", "raw_text", "anchors"]
         for batch in batches:
             rows = [
-                (page_id, *item)
+                (page_id, url, *item)
                 for page_id, url, html in zip(batch["page_id"], batch["url"], batch["html"])
                 for item in list_items(html, url)
             ]
@@ -140,6 +141,7 @@ def entries(items: DataFrame, lists: int = LISTS_PER_PAGE) -> DataFrame:
     links = F.transform(kept, lambda a: F.struct(url_tag(a["url"]).alias("tag"), a["url"].alias("link")))
     return items.filter(F.col("list_no") < lists).select(
         "page_id",
+        "url",
         "list_no",
         "item_no",
         entry_type(F.col("list_no")).alias("event_type"),
