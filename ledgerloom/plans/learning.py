@@ -9,6 +9,7 @@ from ..operators.evaluation import binary_metrics
 from ..operators.modelling import (
     as_categories, fit_features, positive_probability, text_pipeline, train_classifier, vector_entries,
 )
+from ..operators.similarity import most_similar, score_against_row
 from .common import given, report
 from .profiling import LABELLED_SQL, labelled
 
@@ -17,6 +18,7 @@ CATEGORICAL = ["lang", "source"]
 NUMERIC = ["n_chars"]
 LABEL = "quality"
 EVAL_SHARE = 5
+SEARCH_TEXT = "the house of the ring and that thing in the land"
 
 
 def one_hot_features(spark, folder):
@@ -42,6 +44,19 @@ def text_vectors(spark, folder):
     )
 
 
+def most_similar_text(spark, folder):
+    """The document closest to a search text: same vectors for both, cosine, best one."""
+    documents = given(spark, folder, "documents").select("doc_id", "text")
+    model = text_pipeline("text").fit(documents)
+    asked = spark.range(1).select(F.lit(SEARCH_TEXT).alias("text"))
+    vectors, query = (
+        model.transform(df).withColumn("v", vector_to_array("vector")).drop("vector", "_words", "_counts", "_weights")
+        for df in (documents, asked)
+    )
+    best = most_similar(score_against_row(vectors, "v", query, "v"), "doc_id")
+    return report(best.select("doc_id", F.round("similarity", 6).alias("similarity")))
+
+
 def train_eval_classifier(spark, folder):
     """Train on four fifths of the labelled documents, evaluate on the rest."""
     rows = as_categories(labelled(spark, folder), CATEGORICAL).withColumn(
@@ -52,7 +67,7 @@ def train_eval_classifier(spark, folder):
     return report(binary_metrics(scored, LABEL, "p"))
 
 
-QUERIES = {f.__name__: f for f in (one_hot_features, text_vectors, train_eval_classifier)}
+QUERIES = {f.__name__: f for f in (one_hot_features, text_vectors, most_similar_text, train_eval_classifier)}
 
 ORACLES = {
     "one_hot_features": f"""WITH {LABELLED_SQL},

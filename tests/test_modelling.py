@@ -74,3 +74,18 @@ def test_forward_refuses_other_lengths(spark):
     df = spark.createDataFrame([([1.0, 2.0],), ([1.0, 2.0, 3.0, 4.0],)], "v array<double>").coalesce(1)
     with pytest.raises(Exception, match="length 3"):
         forward(df, "v", [Layer([[1.0, 1.0, 1.0]], [0.0])], "out").collect()
+
+
+def test_most_similar_text_by_brute_force(spark):
+    from ledgerloom.plans import learning
+    from ledgerloom.plans.common import given
+
+    folder = "/root/testdata/sf0.001"
+    documents = given(spark, folder, "documents").select("doc_id", "text")
+    model = modelling.text_pipeline("text").fit(documents)
+    asked = spark.createDataFrame([(learning.SEARCH_TEXT,)], "text string")
+    q = np.array(model.transform(asked).select(vector_to_array("vector")).first()[0])
+    rows = model.transform(documents).select("doc_id", vector_to_array("vector").alias("v")).collect()
+    score, doc = max((float(np.dot(r.v, q)), -r.doc_id) for r in rows)
+    got = learning.most_similar_text(spark, folder).first()
+    assert (got.doc_id, got.similarity) == (-doc, pytest.approx(score, abs=1e-6))

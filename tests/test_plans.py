@@ -12,7 +12,7 @@ WITH_PYTHON = {
     "page_entries", "entry_counts", "entry_links", "link_slots",
     "dense_forward", "softmax_scores", "cross_entropy", "classification_accuracy", "top5_classes",
 }
-FITTED = {"one_hot_features", "text_vectors", "train_eval_classifier"}
+FITTED = {"one_hot_features", "text_vectors", "most_similar_text", "train_eval_classifier"}
 STORED = {"running_item_revenue", "running_returns"}
 
 
