@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.arrays import clipped
-from .running import ROWS_BEFORE, ROWS_SO_FAR, numbered, value_step
+from .running import ROWS_BEFORE, STEPS_PER_DOUBLING, numbered, value_step
 
 # Decision threshold of the binary metrics.
 THRESHOLD = 0.5
@@ -24,25 +24,26 @@ def regression_error(df: DataFrame, actual: Column, predicted: Column) -> DataFr
 def area_under_roc(df: DataFrame, label: str, probability: str) -> DataFrame:
     """Share of (positive, negative) pairs ranked rightly, ties counted half; one row, ``auc``.
 
-    Rows are counted per distinct score first.  The negatives below a score are added up
-    within a step of the score range, then over the steps.
+    Rows are counted per distinct score first.  Pairs are then counted inside steps of the
+    score range, and between neighbours on each coarser level, so no task sees all scores.
     """
     positive = F.col(label) == 1
-    scores = df.groupBy(F.col(probability).alias("score")).agg(
-        F.count_if(positive).alias("positives"), F.count_if(~positive).alias("negatives")
+    pairs = (
+        df.groupBy(F.col(probability).alias("score"))
+        .agg(F.count_if(positive).alias("positives"), F.count_if(~positive).alias("negatives"))
+        .withColumn("won", F.col("positives") * F.col("negatives").cast("double") / 2)
+        .withColumn("step", value_step(F.col("score")))
+        .withColumn("doubling", F.floor(F.col("step") / STEPS_PER_DOUBLING))
     )
-    within = Window.partitionBy("step").orderBy("score").rowsBetween(*ROWS_SO_FAR)
-    below = F.sum("negatives").over(within) - F.col("negatives") / 2
-    steps = (
-        scores.withColumn("step", value_step(F.col("score")))
-        .withColumn("won", F.col("positives") * below)
-        .groupBy("step")
-        .agg(F.sum("won").alias("won"), F.sum("positives").alias("positives"), F.sum("negatives").alias("negatives"))
-    )
-    earlier = F.coalesce(F.sum("negatives").over(Window.orderBy("step").rowsBetween(*ROWS_BEFORE)), F.lit(0))
-    won = F.col("won") + F.col("positives").cast("double") * F.col("_earlier")
-    pairs = F.sum("positives").cast("double") * F.sum("negatives")
-    return steps.withColumn("_earlier", earlier).agg(F.try_divide(F.sum(won), pairs).alias("auc"))
+    for parent, child in ((["doubling", "step"], "score"), (["doubling"], "step"), ([], "doubling")):
+        earlier = Window.partitionBy(*parent).orderBy(child).rowsBetween(*ROWS_BEFORE)
+        below = F.coalesce(F.sum("negatives").over(earlier), F.lit(0))
+        pairs = (
+            pairs.withColumn("won", F.col("won") + F.col("positives").cast("double") * below)
+            .groupBy(*parent)
+            .agg(F.sum("won").alias("won"), F.sum("positives").alias("positives"), F.sum("negatives").alias("negatives"))
+        )
+    return pairs.select(F.try_divide("won", F.col("positives").cast("double") * F.col("negatives")).alias("auc"))
 
 
 def binary_metrics(df: DataFrame, label: str, probability: str, threshold: float = THRESHOLD) -> DataFrame:

@@ -50,7 +50,7 @@ def text_pipeline(text: str, out: str = "vector", dimensions: int = 256) -> Pipe
     """Unit vectors of term weights, for similarity where no encoder is at hand."""
     return Pipeline(
         stages=[
-            RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"\W+"),
+            RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"(?U)\W+"),
             HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dimensions),
             IDF(inputCol="_counts", outputCol="_weights"),
             Normalizer(inputCol="_weights", outputCol=out),

@@ -8,6 +8,7 @@ from ..functions.dates import month_day_as_date, month_day_name
 from ..functions.text import (
     MAX_LINKS, blank_own_date, entry_body, filled_links, link_slots as slots, signed_year, strip_citations, url_tag,
 )
+from ..session import spread
 from ..sources.calendar import month_days
 from ..sources.html import entries, page_items
 from .common import given, report
@@ -55,7 +56,7 @@ def valid_month_days(spark, folder):
 
 
 def _entries(spark, folder) -> DataFrame:
-    return entries(page_items(given(spark, folder, "pages")))
+    return entries(page_items(spread(given(spark, folder, "pages"))))
 
 
 def page_entries(spark, folder):
@@ -84,7 +85,8 @@ def link_slots(spark, folder):
 
 def signed_years(spark, folder):
     """Every line of every document read as an entry; lines without a digit drop out."""
-    lines = given(spark, folder, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    texts = spread(given(spark, folder, "documents").select("doc_id", "text"))
+    lines = texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     text = strip_citations(F.col("line"))
     dated = lines.select("doc_id", "line_no", text.alias("text")).filter(F.col("text").rlike("[0-9]"))
     return report(

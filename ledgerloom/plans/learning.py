@@ -10,6 +10,7 @@ from ..operators.modelling import (
     as_categories, fit_features, positive_probability, text_pipeline, train_classifier, vector_entries,
 )
 from ..operators.similarity import most_similar, score_against_row
+from ..session import spread
 from .common import given, report
 from .profiling import LABELLED_SQL, labelled
 
@@ -29,7 +30,7 @@ def one_hot_features(spark, folder):
 
 def text_vectors(spark, folder):
     """Number of terms, length and largest weight of each document's vector."""
-    documents = given(spark, folder, "documents").select("doc_id", "text")
+    documents = spread(given(spark, folder, "documents").select("doc_id", "text"))
     vectors = text_pipeline("text").fit(documents).transform(documents)
     weights = vectors.select("doc_id", vector_to_array("vector").alias("v"))
     entries = weights.select("doc_id", F.filter("v", lambda x: x != 0).alias("v"))
@@ -46,7 +47,7 @@ def text_vectors(spark, folder):
 
 def most_similar_text(spark, folder):
     """The document closest to a search text: same vectors for both, cosine, best one."""
-    documents = given(spark, folder, "documents").select("doc_id", "text")
+    documents = spread(given(spark, folder, "documents").select("doc_id", "text"))
     model = text_pipeline("text").fit(documents)
     asked = spark.range(1).select(F.lit(SEARCH_TEXT).alias("text"))
     vectors, query = (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -26,6 +28,22 @@ def shared_folder(spark: SparkSession) -> str | None:
 def stored(df: DataFrame) -> DataFrame:
     """Write an intermediate result to the shared folder and go on from there.
 
+    A parquet table rather than a checkpoint: each later use reads only the columns it needs.
     Nothing is stored where no shared folder is named; the plan then stays in one piece.
     """
-    return df.checkpoint() if shared_folder(df.sparkSession) else df
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    if not folder:
+        return df
+    path = f"{folder.rstrip('/')}/ledgerloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give all cores a part of an input that comes in fewer splits than there are cores.
+
+    For scans ahead of costly work per row.  Large inputs have more splits and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

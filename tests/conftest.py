@@ -22,8 +22,6 @@ def spark():
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.sparkContext.setCheckpointDir(f"{work}/shared")
     yield session
     session.stop()
 

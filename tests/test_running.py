@@ -1,12 +1,14 @@
 """Running totals against a plain loop, with a key that holds most rows, null keys and many chunks."""
 
 import random
+import re
 from collections import defaultdict
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom import session
 from ledgerloom.operators.running import numbered, running_summary, running_total, value_step
 
 
@@ -67,6 +69,22 @@ def test_rows_are_sorted_per_chunk_only(table, plan):
     assert len(rowwise) == 1 and "windowspecdefinition(k" in rowwise[0] and "block" in rowwise[0].split("ASC")[0]
 
 
+def test_rows_are_stored_in_the_shared_folder(table, rows, plan, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    df = running_total(table, ["k"], ["day", "id"], "v", "t", ["day"])
+    assert len(list(tmp_path.iterdir())) == 1
+    assert {r.id: r.t for r in df.collect()} == expected(rows)
+    scans = re.findall(r"ReadSchema: struct<(.*)>", plan(df))
+    # The totals read fewer columns than the rows.
+    assert len(scans) >= 2 and min(scans, key=len).count(":") == 3
+
+
+def test_nothing_is_stored_without_a_shared_folder(table, rows, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda spark: None)
+    df = running_total(table, ["k"], ["day", "id"], "v", "t", ["day"])
+    assert {r.id: r.t for r in df.collect()} == expected(rows)
+
+
 def test_last_total_is_the_sum(table, rows):
     got = running_total(table, ["k"], ["day", "id"], "v", "t", ["day"]).groupBy("k").agg(
         F.max_by("t", F.struct("day", "id")).alias("last"), F.sum("v").alias("all")
