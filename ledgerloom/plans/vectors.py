@@ -91,7 +91,8 @@ def vector_sums(spark, folder):
 
 
 def softmax_scores(spark, folder):
-    out = probabilities(spark, folder).select("vec_id", F.posexplode("p").alias("class", "probability"))
+    scores = logits(spark, folder)
+    out = scores.select("vec_id", F.posexplode(A.softmax(F.col("logits"))).alias("class", "probability"))
     return report(out.select("vec_id", "class", *rounded("probability")))
 
 

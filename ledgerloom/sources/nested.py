@@ -22,7 +22,9 @@ def parse_photo_page(text: Column) -> Column:
 
 def flatten_photos(pages: DataFrame) -> DataFrame:
     """One row per photo, nested fields as flat columns, dates as dates."""
-    photo = pages.select(F.explode("photos").alias("p"))
+    # The outer form: for the plain one Spark adds a filter on the array's size, which would
+    # parse a document once more for it where the pages come from text.
+    photo = pages.select(F.posexplode_outer("photos").alias("place", "p")).filter("place is not null")
     return photo.select(
         "p.id",
         "p.sol",
