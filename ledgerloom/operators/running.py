@@ -20,6 +20,25 @@ ROWS_SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 ROWS_BEFORE = (Window.unboundedPreceding, -1)
 
 
+def _sums(df: DataFrame, keys: list[str], order: list[str], value: str, out: str, levels: list[str], rows) -> DataFrame:
+    """Sum of ``value`` over the frame ``rows`` of the key's order, chunk by chunk."""
+    if not levels:
+        return df.withColumn(out, F.sum(value).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(*rows)))
+    chunk = F.struct(*keys, *levels)
+    earlier = f"_before_{len(levels)}"
+    totals = df.groupBy(*keys, *levels).agg(F.sum(value).alias("_total"))
+    totals = _sums(totals, keys, levels, "_total", earlier, levels[:-1], ROWS_BEFORE)
+    within = F.sum(value).over(Window.partitionBy("_chunk").orderBy(*order).rowsBetween(*rows))
+    # Null fields of equal structs compare as equal, which keeps null keys in the join.
+    return (
+        df.withColumn("_chunk", chunk)
+        .withColumn("_within", within)
+        .join(totals.select(chunk.alias("_chunk"), earlier), "_chunk")
+        .withColumn(out, F.coalesce(F.col("_within") + F.col(earlier), "_within", earlier))
+        .drop("_chunk", "_within", earlier)
+    )
+
+
 def running_total(
     df: DataFrame,
     keys: Sequence[str],
@@ -31,34 +50,16 @@ def running_total(
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the key's rows up to the current one.
 
-    ``order`` must be unique within a key, otherwise the result depends on chance.  Null
-    values count as zero.  Null keys form a group of their own.
+    ``order`` must be unique within a key, otherwise the result depends on chance.  As in SQL,
+    null values are passed over, the total is null until the first value, and null keys form
+    a group of their own.
 
     The rows are needed twice, for the chunk totals and for the result.  Where the cluster
     names a shared folder they are stored there first, so that the input is not worked out
     twice; ``store=False`` turns that off, as is right for a plain table.
     """
-    keys, order, levels = list(keys), list(order), list(levels)
-    measured = F.coalesce(F.col(value), F.lit(0))
-    if not levels:
-        so_far = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*ROWS_SO_FAR)
-        return df.withColumn(out, F.sum(measured).over(so_far))
-
-    # Null fields of equal structs compare as equal, which keeps null keys in the join.
-    so_far = Window.partitionBy("_chunk").orderBy(*order).rowsBetween(*ROWS_SO_FAR)
-    rows = stored(df) if store else df
-    totals = rows.groupBy(*keys, *levels).agg(F.sum(measured).alias("_total"))
-    totals = running_total(totals, keys, levels, "_total", "_upto", levels[:-1], store=False)
-    before = totals.select(
-        F.struct(*keys, *levels).alias("_chunk"), (F.col("_upto") - F.col("_total")).alias("_before")
-    )
-    return (
-        rows.withColumn("_chunk", F.struct(*keys, *levels))
-        .withColumn("_within", F.sum(measured).over(so_far))
-        .join(before, "_chunk")
-        .withColumn(out, F.col("_within") + F.col("_before"))
-        .drop("_chunk", "_within", "_before")
-    )
+    rows = stored(df) if store and levels else df
+    return _sums(rows, list(keys), list(order), value, out, list(levels), ROWS_SO_FAR)
 
 
 def running_summary(
@@ -66,9 +67,10 @@ def running_summary(
 ) -> DataFrame:
     """Summarise the running total per key and first level without keeping its rows.
 
-    Returns ``keys + levels[:1]`` with ``n_rows``, ``total``, and the sum and the maximum of
-    the running total over those rows (``running_sum``, ``running_max``).  Rows are shuffled
-    once; everything after that works on chunk summaries.
+    Returns ``keys + levels[:1]`` with the number of rows and of rows that have a running total
+    (``n_rows``, ``n_valued``), the plain ``total``, and the sum and the maximum of the running
+    total over those rows (``running_sum``, ``running_max``).  Rows are shuffled once;
+    everything after that works on chunk summaries.
     """
     keys, order, levels = list(keys), list(order), list(levels)
     if not levels:
@@ -76,28 +78,38 @@ def running_summary(
     chunk = keys + levels
     so_far = Window.partitionBy(*chunk).orderBy(*order).rowsBetween(*ROWS_SO_FAR)
     chunks = (
-        df.select(*dict.fromkeys([*chunk, *order]), F.coalesce(F.col(value), F.lit(0)).alias("_value"))
+        df.select(*dict.fromkeys([*chunk, *order]), F.col(value).alias("_value"))
         .withColumn("_running", F.sum("_value").over(so_far))
         .groupBy(*chunk)
         .agg(
             F.count("*").alias("n_rows"),
+            F.count("_running").alias("n_valued"),
             F.sum("_value").alias("total"),
             F.sum("_running").alias("running_sum"),
             F.max("_running").alias("running_max"),
         )
     )
+    before = F.col("_before")
     for depth in reversed(range(len(levels))):
         parent = keys + levels[:depth]
         earlier = Window.partitionBy(*parent).orderBy(levels[depth]).rowsBetween(*ROWS_BEFORE)
+        # Rows ahead of the chunk's first value stand at what came before, if there was any.
+        waiting = F.when(F.col("n_valued") < F.col("n_rows"), before)
+        raised_sum = F.coalesce("running_sum", F.lit(0)) + F.col("n_rows") * before
         chunks = (
-            chunks.withColumn("_before", F.coalesce(F.sum("total").over(earlier), F.lit(0)))
-            .withColumn("running_sum", F.col("running_sum") + F.col("n_rows") * F.col("_before"))
-            .withColumn("running_max", F.col("running_max") + F.col("_before"))
+            chunks.withColumn("_before", F.sum("total").over(earlier))
+            .withColumn("running_sum", F.when(before.isNull(), F.col("running_sum")).otherwise(raised_sum))
+            .withColumn(
+                "running_max",
+                F.when(before.isNull(), F.col("running_max")).otherwise(F.greatest(F.col("running_max") + before, waiting)),
+            )
+            .withColumn("n_valued", F.when(before.isNull(), F.col("n_valued")).otherwise(F.col("n_rows")))
             .drop("_before")
         )
         if depth:
             chunks = chunks.groupBy(*parent).agg(
                 F.sum("n_rows").alias("n_rows"),
+                F.sum("n_valued").alias("n_valued"),
                 F.sum("total").alias("total"),
                 F.sum("running_sum").alias("running_sum"),
                 F.max("running_max").alias("running_max"),

@@ -285,8 +285,8 @@ def monthly_cumulative(df: DataFrame, keys: Sequence[str], threshold: Column | N
         daily = daily.withColumn("_peak", peak).filter(F.col("_peak") > threshold)
     monthly = (
         daily.groupBy(*keys, F.year("_day").alias("year"), F.month("_day").alias("month"))
-        .agg(F.sum("running_sum").alias("_sum"), F.sum("n_rows").alias("_n"))
-        .withColumn("monthly_cumulative_rev", F.col("_sum").cast("double") / F.col("_n"))
+        .agg(F.sum("running_sum").alias("_sum"), F.sum("n_valued").alias("_n"))
+        .withColumn("monthly_cumulative_rev", F.try_divide(F.col("_sum").cast("double"), F.col("_n")))
         .drop("_sum", "_n")
         .withColumn("date", month_start(F.col("year"), F.col("month")))
     )
@@ -389,23 +389,27 @@ retail AS (
 ALL_SQL = """InvoiceNo, Description, Quantity, CAST(InvoiceDate AS TIMESTAMP) AS InvoiceDate,
   CAST(UnitPrice AS DOUBLE) AS UnitPrice, CustomerID, Country, order_key, line_number, part_key, supplier_key"""
 TIES_SQL = "order_key, line_number, part_key, supplier_key"
-ORDER_SQL = "InvoiceDate, order_key, line_number, part_key, supplier_key, Quantity"
+# Nulls come first in ascending order, as in Spark.
+ORDER_SQL = "InvoiceDate NULLS FIRST, order_key, line_number, part_key, supplier_key, Quantity"
 PRICED_SQL = f"""{RETAIL_SQL},
 priced AS (SELECT *, ROUND(Quantity * UnitPrice, 2) AS revenue FROM retail)"""
 
 
 def _monthly_sql(keys: str, where: str, having: str, item_filter: str = "TRUE") -> str:
     lead = keys.replace("Description", "")
+    # Plain equality, as with IN: a line without a name is on no list.
+    matched = " AND ".join(f"l.{k} = r.{k}" for k in keys.split(", "))
     return f"""WITH {PRICED_SQL},
 running AS (
   SELECT *, ROUND(SUM(revenue) OVER (PARTITION BY {keys} ORDER BY {ORDER_SQL}
                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS cumulative_rev
   FROM priced WHERE {where}),
+listed AS (SELECT {keys} FROM running GROUP BY {keys} HAVING {having}),
 kept AS (
   SELECT r.* FROM running r
-  WHERE {item_filter} AND ({keys}) IN (SELECT ({keys}) FROM running GROUP BY {keys} HAVING {having}))
+  WHERE {item_filter} AND EXISTS (SELECT 1 FROM listed l WHERE {matched}))
 SELECT {lead} Description AS item, YEAR(InvoiceDate) AS year, MONTH(InvoiceDate) AS month,
-       CAST(SUM(cumulative_rev) AS DOUBLE) / COUNT(*) AS monthly_cumulative_rev,
+       CAST(SUM(cumulative_rev) AS DOUBLE) / COUNT(cumulative_rev) AS monthly_cumulative_rev,
        CAST(MAKE_DATE(YEAR(InvoiceDate), MONTH(InvoiceDate), 1) AS VARCHAR) AS date
 FROM kept GROUP BY {lead} Description, YEAR(InvoiceDate), MONTH(InvoiceDate)"""
 

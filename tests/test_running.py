@@ -18,8 +18,9 @@ def rows():
     out = []
     for i in range(2000):
         key = rng.choice(["hot"] * 6 + ["a", "b", None])
-        value = None if rng.random() < 0.02 else Decimal(rng.randint(-5000, 9000)) / 100
-        out.append((key, rng.randint(1, 12), i, value))
+        value = None if i < 60 or rng.random() < 0.02 else Decimal(rng.randint(-5000, 9000)) / 100
+        # The first rows are early and have no value.
+        out.append((key, i // 20 + 1 if i < 60 else rng.randint(2, 12), i, value))
     return out
 
 
@@ -30,11 +31,12 @@ def table(spark, rows):
 
 
 def expected(rows):
-    """id -> running total, by a loop."""
-    so_far, out = defaultdict(Decimal), {}
+    """id -> running total, by a loop; null until the key's first value."""
+    so_far, out = {}, {}
     for key, _, i, value in sorted(rows, key=lambda r: (r[1], r[2])):
-        so_far[key] += value or 0
-        out[i] = so_far[key]
+        if value is not None:
+            so_far[key] = so_far.get(key, 0) + value
+        out[i] = so_far.get(key)
     return out
 
 
@@ -56,10 +58,11 @@ def test_running_summary(table, rows, levels):
     assert len(got) == len(groups)
     for r in got:
         group = groups[r.k, r.day]
-        assert r.n_rows == len(group)
-        assert r.running_sum == sum(t for t, _ in group)
-        assert r.running_max == max(t for t, _ in group)
-        assert r.total == sum(v for _, v in group)
+        running = [t for t, _ in group if t is not None]
+        assert (r.n_rows, r.n_valued) == (len(group), len(running))
+        assert r.running_sum == (sum(running) if running else None)
+        assert r.running_max == (max(running) if running else None)
+        assert (r.total or 0) == sum(v for _, v in group)
 
 
 def test_rows_are_sorted_per_chunk_only(table, plan):
