@@ -30,7 +30,7 @@ def total(x: Column) -> Column:
 
 
 def mean(x: Column) -> Column:
-    return total(x) / F.size(x)
+    return F.try_divide(total(x), F.size(x))
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -88,8 +88,8 @@ def exponentials(x: Column) -> Column:
 
 
 def normalised(x: Column) -> Column:
-    """Each element as a share of the array's sum."""
-    return let(total(x), lambda s: F.transform(x, lambda v: v / s))
+    """Each element as a share of the array's sum; null where that is 0."""
+    return let(total(x), lambda s: F.transform(x, lambda v: F.try_divide(v, s)))
 
 
 def softmax(x: Column) -> Column:

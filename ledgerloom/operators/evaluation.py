@@ -16,8 +16,8 @@ def regression_error(df: DataFrame, actual: Column, predicted: Column) -> DataFr
     miss = predicted - actual
     return df.agg(
         F.count(miss).alias("n"),
-        (F.sum(F.abs(miss)).cast("double") / F.count(miss)).alias("mae"),
-        F.sqrt(F.sum(miss * miss).cast("double") / F.count(miss)).alias("rmse"),
+        F.try_divide(F.sum(F.abs(miss)).cast("double"), F.count(miss)).alias("mae"),
+        F.sqrt(F.try_divide(F.sum(miss * miss).cast("double"), F.count(miss))).alias("rmse"),
     )
 
 
@@ -63,7 +63,7 @@ def binary_metrics(df: DataFrame, label: str, probability: str, threshold: float
     return counts.select(
         "n",
         "loss",
-        ((tp + tn) / F.col("n")).alias("accuracy"),
+        F.try_divide(tp + tn, F.col("n")).alias("accuracy"),
         F.coalesce(F.try_divide(tp, tp + fp), none).alias("precision"),
         F.coalesce(F.try_divide(tp, tp + fn), none).alias("recall"),
         area_under_roc(df, label, probability).scalar().alias("auc"),

@@ -27,10 +27,11 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
         return df.distinct()
     # Rows are compared by the order first and by all their columns on a tie.
     packed = F.struct(*[F.col(c).alias(f"_order_{i}") for i, c in enumerate(order)], *rest)
-    return df.groupBy(*keys).agg(F.min(packed).alias("_first")).select(*keys, *[F.col("_first")[c].alias(c) for c in rest]).select(*df.columns)
+    first = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
+    return first.select(*[c if c in keys else F.col("_first")[c].alias(c) for c in df.columns])
 
 
 def share_of_total(df: DataFrame, value: str, out: str, decimals: int = 2) -> DataFrame:
     """Per cent of the column's sum.  For the few rows of a finished report."""
     everything = F.sum(value).over(Window.partitionBy())
-    return df.withColumn(out, F.round(F.col(value) * 100 / everything, decimals))
+    return df.withColumn(out, F.round(F.try_divide(F.col(value) * 100, everything), decimals))

@@ -198,7 +198,7 @@ SELECT COUNT(*) AS n, {_r(f'AVG(-ln({_CLIPPED}))')} AS mean_loss,
     "regression_error": f"""WITH missed AS (
   SELECT CAST(p_retailprice AS DECIMAL(18,2)) * CAST(l_quantity AS BIGINT) - CAST(l_extendedprice AS DECIMAL(18,2)) AS miss
   FROM lineitem JOIN part ON l_partkey = p_partkey)
-SELECT COUNT(*) AS n, {_r('AVG(ABS(CAST(miss AS DOUBLE)))')} AS mae, {_r('SQRT(AVG(CAST(miss AS DOUBLE) * CAST(miss AS DOUBLE)))')} AS rmse
+SELECT COUNT(miss) AS n, {_r('AVG(ABS(CAST(miss AS DOUBLE)))')} AS mae, {_r('SQRT(AVG(CAST(miss AS DOUBLE) * CAST(miss AS DOUBLE)))')} AS rmse
 FROM missed""",
     "top5_classes": f"""WITH {SOFTMAX_SQL}, n AS (SELECT vec_id, p, UNNEST(range({CLASSES})) AS class FROM probs),
 ranked AS (SELECT vec_id, class, p[class + 1] AS s, ROW_NUMBER() OVER (PARTITION BY vec_id ORDER BY p[class + 1] DESC, class) AS place FROM n)

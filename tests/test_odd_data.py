@@ -10,7 +10,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry
-from ledgerloom.plans import almanac, captures, panel, retail
+from ledgerloom.plans import almanac, captures, learning, panel, profiling, retail, vectors
 from tools.compare import TABLES, duck, rows_of
 
 NAMES = ["blue ring", "hot bolt", "large plate", "red cup", None]
@@ -64,7 +64,8 @@ def build(folder, n_lines, n_events, n_pages, seed=11):
         part = rng.choice([0, 0, 0, 1000, *range(40)]) if i % 3 else 1
         quantity = float(rng.randint(1, 50))
         flag = rng.choice("RAN")
-        lines.append((order, part, i % 10, i, quantity, rng.randint(100, 9999999) / 100, 0.1, 0.02, flag, "O", "2000-01-01 00:00:00"))
+        price = None if i % 50 == 0 else rng.choice([1e6, rng.randint(100, 9999999) / 100])
+        lines.append((order, part, i % 10, i, quantity, price, 0.1, 0.02, flag, "O", "2000-01-01 00:00:00"))
     write(
         folder, "lineitem",
         "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INTEGER, l_quantity DOUBLE, "
@@ -89,11 +90,13 @@ def build(folder, n_lines, n_events, n_pages, seed=11):
         )
         pages.append((i, f"http://site.example/wiki/{i}", f"<html><nav><ul>{items}</ul></nav><p>text</p></html>"))
         texts = ["44 BC – x", "AD 69 – y", "1969 – z", "none", "c. 500 – w", "AD", "99999999999999999999 big", " [3] 7 – q ", ""]
-        documents.append((i, "\n".join(rng.sample(texts, 5)), "en", "s", 10))
+        documents.append((i, "\n".join(rng.sample(texts, 5)), rng.choice(["en", "en", "de"]), rng.choice(["s", "t"]), rng.randint(0, 5000)))
     write(folder, "pages", "page_id BIGINT, url VARCHAR, html VARCHAR", pages)
     write(folder, "documents", "doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT", documents)
-    write(folder, "labels", "doc_id BIGINT, quality INTEGER, toxic INTEGER", [])
-    write(folder, "embeddings", "vec_id BIGINT, embedding FLOAT[], label INTEGER", [])
+    labels = [(i, rng.randint(0, 1), 0) for i in range(n_pages)]
+    write(folder, "labels", "doc_id BIGINT, quality INTEGER, toxic INTEGER", labels)
+    embeddings = [(i, [rng.gauss(0, 0.3) for _ in range(64)], rng.randint(0, 9)) for i in range(n_pages)]
+    write(folder, "embeddings", "vec_id BIGINT, embedding FLOAT[], label INTEGER", embeddings)
     write(folder, "benchmark", "item_id BIGINT, text VARCHAR", [])
     write(folder, "conversations", "conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR", [])
 
@@ -113,10 +116,11 @@ def empty(tmp_path_factory):
 
 
 AREAS = {**retail.QUERIES, **panel.QUERIES, **captures.QUERIES, **almanac.QUERIES}
+MEASURED = {**vectors.QUERIES, **profiling.QUERIES, "one_hot_features": learning.one_hot_features}
 
 
 def check(spark, folder, con, name):
-    df = AREAS[name](spark, folder)
+    df = entry.queries()[name](spark, folder)
     result = con.execute(entry.oracle_sql()[name])
     columns = [d[0] for d in result.description]
     want = rows_of(columns, result.fetchall())
@@ -124,7 +128,7 @@ def check(spark, folder, con, name):
     return want
 
 
-@pytest.mark.parametrize("name", sorted(AREAS))
+@pytest.mark.parametrize("name", sorted({**AREAS, **MEASURED}))
 def test_odd_tables(spark, odd, name):
     assert check(spark, *odd, name)
 
@@ -134,5 +138,10 @@ def test_empty_tables(spark, empty, name):
     check(spark, *empty, name)
 
 
+@pytest.mark.parametrize("name", sorted({**vectors.QUERIES, **profiling.QUERIES}))
+def test_empty_tables_are_no_error(spark, empty, name):
+    entry.queries()[name](spark, empty[0]).collect()
+
+
 def test_all_tables_are_written(odd):
     assert all(Path(odd[0], f"{t}.parquet").exists() for t in TABLES)
