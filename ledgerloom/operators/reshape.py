@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .params import parameter_table
 
@@ -64,10 +64,17 @@ def heading_faults(long: DataFrame, mapping: Mapping) -> DataFrame:
     )
 
 
-def balanced_panel(df: DataFrame, key: str, period: str) -> DataFrame:
-    """Rows of the keys that occur in every period."""
-    pairs = df.select(key, period).distinct()
+def balanced_panel(df: DataFrame, key: str, period: str, one_row_each: bool = False) -> DataFrame:
+    """Rows of the keys that occur in every period.
+
+    With ``one_row_each`` (key, period) is known to be unique; a key then has no more rows
+    than there are periods and is counted in place, without a second pass and a join.
+    """
     n_periods = df.select(F.count_distinct(period)).scalar()
+    if one_row_each:
+        counted = df.withColumn("_n", F.count(period).over(Window.partitionBy(key)))
+        return counted.filter((F.col("_n") == n_periods) & F.col(key).isNotNull()).drop("_n")
+    pairs = df.select(key, period).dropna().distinct()
     complete = pairs.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") == n_periods)
     return df.join(complete.select(key), key, "left_semi")
 

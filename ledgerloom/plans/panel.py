@@ -112,7 +112,7 @@ def header_mapping(spark, folder):
 
 
 def balanced_panel(spark, folder):
-    return report(keep_complete(customer_years(spark, folder), "customer", "year"))
+    return report(keep_complete(customer_years(spark, folder), "customer", "year", one_row_each=True))
 
 
 def key_set_difference(spark, folder):
@@ -179,7 +179,7 @@ SELECT county, year, orders, CASE WHEN year >= {SECOND_VINTAGE} THEN CAST(revenu
     "balanced_panel": f"""WITH {CUSTOMER_YEARS_SQL}
 SELECT customer, year, orders, CAST(revenue AS DOUBLE) AS revenue FROM pairs
 WHERE customer IN (SELECT customer FROM pairs GROUP BY customer
-                   HAVING COUNT(*) = (SELECT COUNT(DISTINCT year) FROM pairs))""",
+                   HAVING COUNT(year) = (SELECT COUNT(DISTINCT year) FROM pairs))""",
     "key_set_difference": """WITH
 a AS (SELECT DISTINCT o_custkey AS customer FROM orders WHERE YEAR(o_orderdate) = 2000),
 b AS (SELECT DISTINCT o_custkey AS customer FROM orders WHERE YEAR(o_orderdate) = 2001)

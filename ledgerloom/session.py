@@ -35,7 +35,7 @@ def stored(df: DataFrame) -> DataFrame:
     folder = shared_folder(spark)
     if not folder:
         return df
-    path = f"{folder.rstrip('/')}/ledgerloom-{uuid.uuid4().hex}"
+    path = f"{folder.rstrip('/')}/ledgerloom-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

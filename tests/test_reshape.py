@@ -42,6 +42,9 @@ def test_balanced_panel(spark):
     rows = [("a", 1), ("a", 2), ("a", 3), ("b", 1), ("b", 3), ("c", 1), ("c", 2), ("c", 3), ("c", 3)]
     df = spark.createDataFrame(rows, "k string, y int")
     assert sorted(map(tuple, reshape.balanced_panel(df, "k", "y").collect())) == sorted(r for r in rows if r[0] != "b")
+    once = df.distinct()
+    got = reshape.balanced_panel(once, "k", "y", one_row_each=True).collect()
+    assert sorted(map(tuple, got)) == sorted({r for r in rows if r[0] != "b"})
 
 
 def test_key_set_difference(spark):

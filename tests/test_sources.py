@@ -1,6 +1,10 @@
 import datetime
 import json
+import os
+import subprocess
+import sys
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -177,3 +181,19 @@ def test_search(spark):
     events = spark.createDataFrame(rows, "date string, year int, event_type string")
     assert search(events, "January 5", "January 20", 1500, 1800, "event").count() == 2
     assert search(events, "December 20", "January 20", 1500, 1800, "event").isEmpty()
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """Started elsewhere, Python workers cannot import the package; its functions are sent along."""
+    root = Path(__file__).resolve().parents[1]
+    script = f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+from ledgerloom.plans import registry
+from ledgerloom.session import local_session
+spark = local_session("2")
+print("rows", len(registry.QUERIES["page_entries"](spark, "/root/testdata/sf0.001").collect()))
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 281" in done.stdout, done.stderr[-2000:]
