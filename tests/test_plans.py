@@ -21,7 +21,7 @@ def test_python_only_where_needed(spark, plan, name):
     text = plan(registry.QUERIES[name](spark, FOLDER))
     python = bool(re.search(r"MapInPandas|MapInArrow|ArrowEvalPython|BatchEvalPython", text))
     assert python == (name in WITH_PYTHON)
-    assert "CartesianProduct" not in text
+    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
 
 
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - FITTED - STORED - {"columns_numbered", "valid_month_days"}))
