@@ -1,25 +1,61 @@
-"""From raw documents to shards: the stages, each written and read again."""
+"""From raw documents to shards: toxic documents go, near copies go, benchmark passages go, sources are mixed, the rest is sharded."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm.queries import SHARDS
+from ledgerloom.llm.decontaminate import contaminated
+from ledgerloom.llm.mixing import mixed
+from ledgerloom.llm.ngram_jaccard import jaccard_components
+from ledgerloom.llm.queries import MIX, SHARDS
 from ledgerloom.llm.sharding import sharded
 from ledgerloom.llm.storage import keep, table
+from ledgerloom.llm.toxicity import toxicity
+
+#: The last stage does not return the columns of documents but the places of documents in shards.
+ORACLE_SQL = None
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject.  Rows with a null id cannot be named and stay."""
+    judged = toxicity(docs, table(spark, sf_dir, "labels"))
+    return docs.join(judged.filter("predicted = 1").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five words, 0.8): the one that names the group."""
+    groups = jaccard_components(docs, words=5, percent=80)
+    return docs.join(groups.filter("component_id <> doc_id").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the mix takes at all, whole; one that it takes in several epochs is there several times."""
+    taken = mixed(docs, MIX).groupBy("doc_id").agg(F.countDistinct("epoch").cast("int").alias("_times"))
+    times = docs.join(taken, "doc_id")
+    return times.withColumn("_nth", F.explode(F.sequence(F.lit(1), "_times"))).select(docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its shard and place in it."""
-    return sharded(docs, SHARDS).drop("grown_shard", "law")
+    """Every document with its shard and its place in it."""
+    return sharded(docs, SHARDS)
 
 
-STAGES = [("sharding", shard)]
-ORACLE_SQL = None
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("mixing sources to target weights", mix_sources),
+    ("sharding", shard),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = keep(stage(spark, docs, sf_dir), f"stage-{name}")
+    for n, (_, stage) in enumerate(STAGES):
+        docs = keep(stage(spark, docs, sf_dir), f"stage{n}")
     return docs

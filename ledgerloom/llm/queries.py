@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .decontaminate import contaminated
 from .exact_dedup import exact_duplicates
+from .language_id import languages
 from .line_dedup import shared_line_dedup
 from .mixing import Mix, mixed
+from .ngram_jaccard import jaccard_components
 from .sharding import sharded
 from .storage import table
+from .token_files import token_round_trip
+from .toxicity import toxicity
 from .url_filter import claimed_twice, judged_urls
 
 RULES = [
@@ -28,6 +33,17 @@ MIX = Mix(
 )
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer file; read on the driver only."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = shared_line_dedup(table(spark, sf_dir, "documents"))
     return result.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -37,6 +53,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage, with the items; clean documents have no row."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents"), MIX)
 
@@ -51,7 +72,25 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(table(spark, sf_dir, "documents"), SHARDS)
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_exact_dedup, op5_source_mix, op6_url_filter, op7_sharding)}
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_ngram_jaccard, op2_line_dedup, op3_exact_dedup, op4_decontaminate, op5_source_mix,
+        op6_url_filter, op7_sharding, op8_token_files, op9_toxicity, op10_language_id,
+    )
+}
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
