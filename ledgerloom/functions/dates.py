@@ -38,6 +38,17 @@ def month_day_as_date(month_day: Column) -> Column:
     return F.try_to_timestamp(F.concat(F.lit("2000 "), month_day), F.lit("yyyy MMMM d")).cast("date")
 
 
+def in_year(column: str, first: int, last: int | None = None) -> Column:
+    """Whether a timestamp lies in the years ``first`` to ``last``, as a range that a scan can use."""
+    start, end = (F.lit(datetime.datetime(y, 1, 1)).cast("timestamp_ntz") for y in (first, (last or first) + 1))
+    return (F.col(column) >= start) & (F.col(column) < end)
+
+
+def month_day_number(day: Column) -> Column:
+    """105 for the fifth of January."""
+    return F.month(day) * 100 + F.dayofmonth(day)
+
+
 def days_in_month(month_name: Column) -> Column:
     """Number of days of a named month in a common year (February has 28)."""
     first = F.try_to_timestamp(F.concat(F.lit("2001 "), month_name, F.lit(" 1")), F.lit("yyyy MMMM d"))

@@ -7,7 +7,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .params import MAX_BROADCAST_ROWS, parameter_table
+from .params import parameter_table
 
 
 def is_cancelled(invoice_no: Column) -> Column:
@@ -32,10 +32,8 @@ def with_threshold(df: DataFrame, column: str, thresholds: Mapping[str, object],
     """Keep rows whose ``column`` is listed and add the threshold that goes with it."""
     rows = [(name, Decimal(str(value))) for name, value in thresholds.items()]
     table = parameter_table(df.sparkSession, rows, {column: "string", out: "decimal(18,2)"})
-    if len(thresholds) <= MAX_BROADCAST_ROWS:
-        # Lets the scan skip what the join would drop anyway.
-        df = df.filter(F.col(column).isin(list(thresholds)))
-    return df.join(table, column)
+    # The filter lets the scan skip what the join would drop anyway.
+    return df.filter(F.col(column).isin(list(thresholds))).join(table, column)
 
 
 def trailing_window(df: DataFrame, column: str, units: int) -> DataFrame:

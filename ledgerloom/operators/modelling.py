@@ -6,9 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
-from pyspark.ml.feature import (
-    IDF, HashingTF, Normalizer, OneHotEncoder, RegexTokenizer, StandardScaler, StringIndexer, VectorAssembler,
-)
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
@@ -46,18 +44,6 @@ def vector_entries(df: DataFrame, keys: Sequence[str], vector: str) -> DataFrame
     return df.select(*keys, F.posexplode(vector_to_array(F.col(vector))).alias("position", "value")).filter("value <> 0")
 
 
-def text_pipeline(text: str, out: str = "vector", dimensions: int = 256) -> Pipeline:
-    """Unit vectors of term weights, for similarity where no encoder is at hand."""
-    return Pipeline(
-        stages=[
-            RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"(?U)\W+"),
-            HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dimensions),
-            IDF(inputCol="_counts", outputCol="_weights"),
-            Normalizer(inputCol="_weights", outputCol=out),
-        ]
-    )
-
-
 def train_classifier(
     train: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str], seed: int = 1
 ) -> PipelineModel:

@@ -6,17 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# A parameter list beyond this many entries is joined by shuffle instead of broadcast.
-MAX_BROADCAST_ROWS = 10_000
-
 
 def parameter_table(spark: SparkSession, rows: Sequence[tuple], columns: dict[str, str]) -> DataFrame:
-    """A list from the caller as a table with the given columns and types.
-
-    A short list becomes part of the plan and is marked for broadcast.
-    """
-    if len(rows) > MAX_BROADCAST_ROWS:
-        return spark.createDataFrame(list(rows), ", ".join(f"`{c}` {t}" for c, t in columns.items()))
+    """A list from the caller as a table with the given columns and types; it becomes part of the plan."""
     fields = list(columns.items())
     structs = [F.struct(*[F.lit(v).cast(t).alias(c) for v, (c, t) in zip(row, fields)]) for row in rows]
-    return F.broadcast(spark.range(1).select(F.inline(F.array(*structs))))
+    empty = F.lit(None).cast("array<struct<" + ", ".join(f"`{c}`: {t}" for c, t in fields) + ">>")
+    return spark.range(1).select(F.inline(F.array(*structs) if structs else empty))

@@ -98,17 +98,15 @@ def quantiles(df: DataFrame, columns: Sequence[str], points: Sequence[float] = Q
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles, maximum; one row per column."""
-    basic = _long(df, columns).groupBy("column_name").agg(
-        F.count("*").alias("n"),
-        F.avg("x").alias("mean"),
-        F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"),
-        F.max("x").alias("max"),
-    )
+    measures = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    # One row of all measures from one narrow scan, then a row per column.
+    wide_row = df.agg(*[f(F.col(c).cast("double")).alias(f"{i}_{m}") for i, c in enumerate(columns) for m, f in measures.items()])
+    rows = [F.struct(F.lit(c).alias("column_name"), *[F.col(f"{i}_{m}").alias(m) for m in measures]) for i, c in enumerate(columns)]
+    basic = wide_row.select(F.inline(F.array(*rows)))
     names = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
     wide = (
         quantiles(df, columns)
         .groupBy("column_name")
         .agg(*[F.max(F.when(F.col("point") == p, F.col("value"))).alias(n) for p, n in names.items()])
     )
-    return basic.join(wide, "column_name").select("column_name", "n", "mean", "std", "min", "q25", "q50", "q75", "max")
+    return basic.join(wide, "column_name", "left").select("column_name", "n", "mean", "std", "min", "q25", "q50", "q75", "max")

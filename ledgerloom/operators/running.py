@@ -3,8 +3,8 @@
 A plain window puts all rows of a key into one task.  Here the order is cut into chunks:
 ``levels`` names columns that are coarse versions of the order (say day, then a block of
 order numbers), coarsest first, so that sorting by the levels never contradicts the order.
-Rows are sorted only inside a chunk; what came before a chunk is found from chunk totals,
-which a map-side combine has already shrunk.  Chunk totals are added up level by level in
+Rows are sorted only inside a chunk; what came before a chunk is found from chunk totals.
+These are few where many rows share a key and chunk, and almost as many as rows where they do not.  Chunk totals are added up level by level in
 the same way, so no task ever sees all rows, or all chunks, of a key.
 """
 
@@ -14,8 +14,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import stored
-
 ROWS_SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 ROWS_BEFORE = (Window.unboundedPreceding, -1)
 
@@ -46,7 +44,6 @@ def running_total(
     value: str,
     out: str,
     levels: Sequence[str] = (),
-    store: bool = True,
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the key's rows up to the current one.
 
@@ -54,12 +51,11 @@ def running_total(
     null values are passed over, the total is null until the first value, and null keys form
     a group of their own.
 
-    The rows are needed twice, for the chunk totals and for the result.  Where the cluster
-    names a shared folder they are stored there first, so that the input is not worked out
-    twice; ``store=False`` turns that off, as is right for a plain table.
+    The rows are read twice, for the chunk totals and for the result.  If they are costly to work
+    out, give a stored table: ``df.write`` to a folder of your own, or ``df.checkpoint()``.
+    Building the plan writes nothing.
     """
-    rows = stored(df) if store and levels else df
-    return _sums(rows, list(keys), list(order), value, out, list(levels), ROWS_SO_FAR)
+    return _sums(df, list(keys), list(order), value, out, list(levels), ROWS_SO_FAR)
 
 
 def running_summary(
@@ -117,16 +113,20 @@ def running_summary(
     return chunks
 
 
-def numbered(df: DataFrame, order: Sequence[str], out: str, levels: Sequence[str], store: bool = True) -> DataFrame:
+def numbered(df: DataFrame, order: Sequence[str], out: str, levels: Sequence[str]) -> DataFrame:
     """Number all rows from 1 in a given unique order, without one task seeing them all."""
     ones = df.withColumn("_one", F.lit(1).cast("bigint"))
-    return running_total(ones, [], order, "_one", out, levels, store).drop("_one")
+    return running_total(ones, [], order, "_one", out, levels).drop("_one")
 
 
 # Steps per doubling of a number; all doubles together fall into fewer than 18 million steps.
 STEPS_PER_DOUBLING = 4096
 
 
+# Not a number sorts after all numbers; infinity is taken as 2150 doublings up.
+NAN_STEP = 2200 * STEPS_PER_DOUBLING
+
+
 def value_step(value: Column) -> Column:
     """A whole number that grows with ``value``, in relative steps of about 0.02 per cent.
 
@@ -135,5 +135,6 @@ def value_step(value: Column) -> Column:
     """
     x = value.cast("double")
     # log2 of the smallest positive double is -1074.
-    size = F.log2(F.nullif(F.abs(x), F.lit(0.0))) + 1075
-    return F.floor(F.coalesce(F.signum(x) * size, F.lit(0.0)) * STEPS_PER_DOUBLING)
+    size = F.least(F.log2(F.nullif(F.abs(x), F.lit(0.0))) + 1075, F.lit(2150.0))
+    step = F.floor(F.coalesce(F.signum(x) * size, F.lit(0.0)) * STEPS_PER_DOUBLING)
+    return F.when(F.isnan(x), F.lit(NAN_STEP)).otherwise(step)

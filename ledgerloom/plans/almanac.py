@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.dates import month_day_as_date, month_day_name
+from ..functions.dates import in_year, month_day_as_date, month_day_name, month_day_number
 from ..functions.text import (
     MAX_LINKS, blank_own_date, entry_body, filled_links, link_slots as slots, signed_year, strip_citations, url_tag,
 )
-from ..session import spread
 from ..sources.calendar import month_days
 from ..sources.html import entries, page_items
 from .common import given, report
@@ -17,21 +16,28 @@ from .common import given, report
 FIRST_DAY, LAST_DAY = "January 5", "January 20"
 FIRST_YEAR, LAST_YEAR = 1900, 2024
 EVENT_TYPE = "view"
+NO_DAY = "(not in calendar)"
 
 
 def search(events: DataFrame, first_day: str, last_day: str, first_year: int, last_year: int, event_type: str) -> DataFrame:
-    """Entries between two month-days and two years.  A range over New Year finds nothing."""
-    day = month_day_as_date(F.col("date"))
-    first, last = month_day_as_date(F.lit(first_day)), month_day_as_date(F.lit(last_day))
+    """Events between two month-days and two years.  A range over New Year finds nothing.
+
+    The years are a range of the stored time, which the scan can use; the day is compared as a number.
+    """
+    first, last = (month_day_number(month_day_as_date(F.lit(d))) for d in (first_day, last_day))
     return events.filter(
         (F.col("event_type") == event_type)
-        & F.col("year").between(first_year, last_year)
-        & day.between(first, last)
+        & in_year("ts", first_year, last_year)
+        & month_day_number(F.col("ts")).between(first, last)
     )
 
 
 def dated_events(spark, folder) -> DataFrame:
-    return given(spark, folder, "events").select(
+    return as_entries(given(spark, folder, "events"))
+
+
+def as_entries(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("event_id").alias("id"),
         month_day_name(F.col("ts")).alias("date"),
         F.year("ts").alias("year"),
@@ -41,51 +47,51 @@ def dated_events(spark, folder) -> DataFrame:
 
 
 def month_day_year_search(spark, folder):
-    found = search(dated_events(spark, folder), FIRST_DAY, LAST_DAY, FIRST_YEAR, LAST_YEAR, EVENT_TYPE)
-    return report(found)
+    found = search(given(spark, folder, "events"), FIRST_DAY, LAST_DAY, FIRST_YEAR, LAST_YEAR, EVENT_TYPE)
+    return report(as_entries(found))
 
 
 def valid_month_days(spark, folder):
-    """Every day of the calendar with its number of events."""
+    """Every day of the calendar with its number of events, and one row for events on no day of it (29 February)."""
     counted = dated_events(spark, folder).groupBy(F.col("date").alias("month_day")).agg(F.count("*").alias("n"))
-    return report(
-        month_days(spark)
-        .join(counted, "month_day", "left")
-        .select("day_of_year", "month_day", F.coalesce("n", F.lit(0)).alias("events"))
-    )
+    calendar = month_days(spark)
+    days = calendar.join(counted, "month_day", "left").select("day_of_year", "month_day", "n")
+    others = counted.join(calendar, "month_day", "left_anti").agg(F.sum("n").alias("n"))
+    others = others.select(F.lit(None).cast("int").alias("day_of_year"), F.lit(NO_DAY).alias("month_day"), "n")
+    return report(days.unionByName(others).select("day_of_year", "month_day", F.coalesce("n", F.lit(0)).alias("events")))
 
 
-def _entries(spark, folder) -> DataFrame:
-    return entries(page_items(spread(given(spark, folder, "pages"))))
+def entry_table(spark, folder) -> DataFrame:
+    return entries(page_items(given(spark, folder, "pages")))
 
 
 def page_entries(spark, folder):
     return report(
-        _entries(spark, folder).select(
+        entry_table(spark, folder).select(
             "page_id", "list_no", "item_no", "event_type", "text", F.size("links").alias("n_links")
         )
     )
 
 
 def entry_counts(spark, folder):
-    return report(_entries(spark, folder).groupBy("page_id", "event_type").agg(F.count("*").alias("entries")))
+    return report(entry_table(spark, folder).groupBy("page_id", "event_type").agg(F.count("*").alias("entries")))
 
 
 def entry_links(spark, folder):
-    links = _entries(spark, folder).select("page_id", "list_no", "item_no", F.posexplode(filled_links(F.col("links"))))
+    links = entry_table(spark, folder).select("page_id", "list_no", "item_no", F.posexplode(filled_links(F.col("links"))))
     return report(links.select("page_id", "list_no", "item_no", F.col("pos").alias("link_no"), "col.tag", "col.link"))
 
 
 def link_slots(spark, folder):
     """Flat export with 20 tags and 20 links; the page's own date is blanked."""
-    dated = _entries(spark, folder).withColumn("date", url_tag(F.col("url")))
+    dated = entry_table(spark, folder).withColumn("date", url_tag(F.col("url")))
     kept = dated.withColumn("links", blank_own_date(F.slice("links", 1, MAX_LINKS), F.col("date")))
     return report(kept.select("page_id", "list_no", "item_no", "date", "event_type", "text", *slots(F.col("links"))))
 
 
 def signed_years(spark, folder):
     """Every line of every document read as an entry; lines without a digit drop out."""
-    texts = spread(given(spark, folder, "documents").select("doc_id", "text"))
+    texts = given(spark, folder, "documents").select("doc_id", "text")
     lines = texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     text = strip_citations(F.col("line"))
     dated = lines.select("doc_id", "line_no", text.alias("text")).filter(F.col("text").rlike("[0-9]"))
@@ -122,11 +128,14 @@ _EMPTY = ", ".join(
 _OWN = "linked AND (tag <> date OR contains(tag, 'BC'))"
 
 ORACLES = {
-    "valid_month_days": """WITH days AS (
+    "valid_month_days": f"""WITH days AS (
   SELECT UNNEST(generate_series(TIMESTAMP '1900-01-01', TIMESTAMP '1900-12-31', INTERVAL 1 DAY)) AS d),
 counted AS (SELECT strftime(ts, '%B %-d') AS month_day, COUNT(*) AS n FROM events GROUP BY 1)
 SELECT DAYOFYEAR(d) AS day_of_year, strftime(d, '%B %-d') AS month_day, COALESCE(n, 0) AS events
-FROM days LEFT JOIN counted ON month_day = strftime(d, '%B %-d')""",
+FROM days LEFT JOIN counted ON month_day = strftime(d, '%B %-d')
+UNION ALL
+SELECT NULL, '{NO_DAY}', CAST(COALESCE(SUM(n), 0) AS BIGINT) FROM counted
+WHERE month_day IS NULL OR month_day NOT IN (SELECT strftime(d, '%B %-d') FROM days)""",
     "month_day_year_search": f"""SELECT event_id AS id, strftime(ts, '%B %-d') AS date, YEAR(ts) AS year, event_type, props AS text
 FROM events WHERE event_type = '{EVENT_TYPE}' AND YEAR(ts) BETWEEN {FIRST_YEAR} AND {LAST_YEAR}
 AND strftime(ts, '%m%d') BETWEEN strftime(strptime('2000 {FIRST_DAY}', '%Y %B %d'), '%m%d')

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import ANCHOR_DATE, ANCHOR_SOL, EARTH_DAYS_PER_SOL, mission_sol, week_start
 from ..operators.filters import filter_if_any, in_date_range, trailing_window as last_units
-from ..session import spread
 from ..sources.nested import flatten_photos, parse_photo_page
 from ..sources.tables import absent_rows
 from .common import given, report
@@ -23,11 +22,11 @@ CAMERAS = ["view", "click"]
 LAUNCHED, LANDED = "2011-11-26", "2012-08-06"
 
 
-def captures(spark, folder, spread_out: bool = False) -> DataFrame:
+def captures(spark, folder) -> DataFrame:
     events = given(spark, folder, "events")
     start = events.agg(F.to_date(F.min("ts"))).scalar()
     day = F.to_date("ts")
-    return (spread(events) if spread_out else events).select(
+    return events.select(
         F.col("event_id").alias("id"),
         F.datediff(day, start).alias("sol"),
         F.col("event_type").alias("camera"),
@@ -35,8 +34,8 @@ def captures(spark, folder, spread_out: bool = False) -> DataFrame:
         day.alias("earth_date"),
         F.concat(F.lit("rover_"), F.col("user_id") % 4).alias("rover"),
         F.lit("active").alias("status"),
-        F.get_json_object("props", "$.k").cast("int").alias("max_sol"),
-        F.col("user_id").cast("int").alias("total_photos"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("max_sol"),
+        F.col("user_id").alias("total_photos"),
         F.lit(LAUNCHED).cast("date").alias("launch_date"),
         F.lit(LANDED).cast("date").alias("landing_date"),
     )
@@ -53,7 +52,7 @@ def _pages(spark, folder) -> DataFrame:
             F.col("landing_date").cast("string").alias("landing_date"),
         ).alias("rover"),
     )
-    return captures(spark, folder, spread_out=True).select(F.to_json(F.struct(F.array(photo).alias("photos"))).alias("document"))
+    return captures(spark, folder).select(F.to_json(F.struct(F.array(photo).alias("photos"))).alias("document"))
 
 
 def flatten_nested(spark, folder):

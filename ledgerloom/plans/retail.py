@@ -21,6 +21,7 @@ from ..operators.running import running_summary, running_total
 from .common import given, report
 
 MONEY = "decimal(18,2)"
+QUANTITY = "decimal(12,2)"
 # Columns that make the order of lines unique.
 LINE_KEY = ["order_key", "line_number", "part_key", "supplier_key", "Quantity"]
 LINE_ORDER = ["InvoiceDate", *LINE_KEY]
@@ -77,7 +78,7 @@ def items(spark: SparkSession, folder: str, filters: Filters = {}) -> DataFrame:
 def lines(spark: SparkSession, folder: str, filters: Filters = {}) -> DataFrame:
     """The line items alone, with signed quantity and invoice number."""
     returned = F.col("l_returnflag") == "R"
-    quantity = F.col("l_quantity").cast("int")
+    quantity = F.col("l_quantity").cast(QUANTITY)
     return _filtered(spark, folder, "lineitem", filters).select(
         F.concat(F.when(returned, "C").otherwise(""), F.col("l_orderkey").cast("string")).alias("InvoiceNo"),
         F.when(returned, -quantity).otherwise(quantity).alias("Quantity"),
@@ -100,11 +101,17 @@ def add_invoices(
 
 
 def retail(spark: SparkSession, folder: str, columns: Sequence[str], filters: Filters = {}) -> DataFrame:
-    """The retail table with the wanted columns; ``filters`` are conditions per source table."""
+    """The retail table with the wanted columns; ``filters`` are conditions per source table.
+
+    Lines meet the filtered tables first; the join that filters nothing then gets what is left of them.
+    """
     df = lines(spark, folder, filters)
+    by_order = {"orders", "nation"} & set(filters)
+    if by_order:
+        df = add_invoices(df, spark, folder, columns, filters)
     if PART_COLUMNS & set(columns) or "part" in filters:
         df = add_items(df, spark, folder, filters)
-    if ORDER_COLUMNS & set(columns) or {"orders", "nation"} & set(filters):
+    if ORDER_COLUMNS & set(columns) and not by_order:
         df = add_invoices(df, spark, folder, columns, filters)
     return df.select(*columns)
 
@@ -133,12 +140,10 @@ def top_orders_by_quantity(spark, folder):
 
 
 def revenue_by_item(spark, folder):
-    # Whole quantities times prices in cents need no rounding per line, so lines add up per part first.
-    per_part = lines(spark, folder).groupBy("part_key").agg(F.sum("Quantity").alias("Quantity"))
+    # Lines of one part and quantity have one rounded revenue, so they are counted before they meet the parts.
+    alike = lines(spark, folder).groupBy("part_key", "Quantity").agg(F.count("*").alias("n"))
     totals = (
-        add_items(per_part, spark, folder)
-        .groupBy("Description")
-        .agg(F.sum(F.col("Quantity") * F.col("UnitPrice")).alias("raw"))
+        add_items(alike, spark, folder).groupBy("Description").agg(F.sum(line_revenue() * F.col("n")).alias("raw"))
     )
     # The order goes by the unrounded sum.
     return report(
@@ -172,8 +177,14 @@ def revenue_by_country(spark, folder):
 
 
 def revenue_by_item_in_country(spark, folder):
-    here = retail(spark, folder, ["Description", "Quantity", "UnitPrice"], {"nation": F.col("n_name") == COUNTRY})
-    totals = here.groupBy("Description").agg(F.round(F.sum(line_revenue()), 2).alias("total_revenue"))
+    filters = {"nation": F.col("n_name") == COUNTRY}
+    here = add_invoices(lines(spark, folder), spark, folder, ["Country"], filters)
+    alike = here.groupBy("part_key", "Quantity").agg(F.count("*").alias("n"))
+    totals = (
+        add_items(alike, spark, folder)
+        .groupBy("Description")
+        .agg(F.round(F.sum(line_revenue() * F.col("n")), 2).alias("total_revenue"))
+    )
     return report(top_k(totals, 10, "total_revenue", ["Description"]))
 
 
@@ -240,7 +251,7 @@ def top_customer_basket(spark, folder):
         spark,
         folder,
         ["CustomerID", "Description", "UnitPrice", "Quantity"],
-        {"orders": F.col("o_custkey") == best.scalar(), "lineitem": F.col("l_returnflag") != "R"},
+        {"orders": F.col("o_custkey") == best.scalar(), "lineitem": ~F.col("l_returnflag").eqNullSafe("R")},
     )
     bought = (
         theirs.groupBy("CustomerID", "Description", "UnitPrice")
@@ -373,7 +384,7 @@ RETAIL_SQL = """
 retail AS (
   SELECT CASE WHEN l_returnflag = 'R' THEN 'C' ELSE '' END || CAST(l_orderkey AS VARCHAR) AS InvoiceNo,
          p_name AS Description,
-         CAST(CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END AS BIGINT) AS Quantity,
+         CAST(CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END AS DECIMAL(12,2)) AS Quantity,
          o_orderdate AS InvoiceDate,
          CAST(p_retailprice AS DECIMAL(18,2)) AS UnitPrice,
          CAST(o_custkey AS VARCHAR) AS CustomerID,
@@ -386,7 +397,7 @@ retail AS (
   LEFT JOIN nation ON c_nationkey = n_nationkey
   LEFT JOIN part ON l_partkey = p_partkey
 )"""
-ALL_SQL = """InvoiceNo, Description, Quantity, CAST(InvoiceDate AS TIMESTAMP) AS InvoiceDate,
+ALL_SQL = """InvoiceNo, Description, CAST(Quantity AS DOUBLE) AS Quantity, CAST(InvoiceDate AS TIMESTAMP) AS InvoiceDate,
   CAST(UnitPrice AS DOUBLE) AS UnitPrice, CustomerID, Country, order_key, line_number, part_key, supplier_key"""
 TIES_SQL = "order_key, line_number, part_key, supplier_key"
 # Nulls come first in ascending order, as in Spark.
@@ -419,13 +430,13 @@ _PEAK_SQL = " ".join(f"WHEN '{c}' THEN {v}" for c, v in COUNTRY_PEAKS.items())
 
 ORACLES = {
     "top_orders_by_quantity": f"""WITH {RETAIL_SQL}
-SELECT Description, Quantity, order_key, line_number FROM retail WHERE Quantity > {MIN_QUANTITY}
-ORDER BY Quantity DESC, {TIES_SQL} LIMIT 10""",
+SELECT Description, CAST(Quantity AS DOUBLE) AS Quantity, order_key, line_number FROM retail r WHERE Quantity > {MIN_QUANTITY}
+ORDER BY r.Quantity DESC, {TIES_SQL} LIMIT 10""",
     "revenue_by_item": f"""WITH {PRICED_SQL}
 SELECT Description, CAST(ROUND(SUM(revenue), 2) AS DOUBLE) AS total_revenue FROM priced
 GROUP BY Description ORDER BY SUM(revenue) DESC, Description LIMIT 10""",
     "quantity_by_country": f"""WITH {RETAIL_SQL}
-SELECT Country, CAST(SUM(Quantity) AS BIGINT) AS total_sold FROM retail
+SELECT Country, CAST(SUM(Quantity) AS DOUBLE) AS total_sold FROM retail
 GROUP BY Country ORDER BY total_sold DESC, Country LIMIT 20""",
     "revenue_by_country": f"""WITH {RETAIL_SQL}
 SELECT Country, CAST(ROUND(SUM(Quantity * UnitPrice), 2) AS DOUBLE) AS total_revenue FROM retail
@@ -438,7 +449,7 @@ SELECT CAST(MIN(InvoiceDate) AS TIMESTAMP) AS first_date, CAST(MAX(InvoiceDate)
     "item_lookup": f"""WITH {RETAIL_SQL} SELECT {ALL_SQL} FROM retail WHERE Description = '{ITEM}'""",
     "customer_history": f"""WITH {RETAIL_SQL} SELECT {ALL_SQL} FROM retail
 WHERE CustomerID IN ({', '.join(f"'{c}'" for c in CUSTOMERS)})""",
-    "sample_rows": f"""WITH {RETAIL_SQL} SELECT {ALL_SQL} FROM retail ORDER BY {TIES_SQL}, Quantity LIMIT 10""",
+    "sample_rows": f"""WITH {RETAIL_SQL} SELECT {ALL_SQL} FROM retail r ORDER BY {TIES_SQL}, r.Quantity LIMIT 10""",
     "top_lines_by_revenue": f"""WITH {PRICED_SQL} SELECT {ALL_SQL}, CAST(revenue AS DOUBLE) AS revenue
 FROM priced p ORDER BY p.revenue DESC, {TIES_SQL} LIMIT 10""",
     "top_customers": f"""WITH {PRICED_SQL}
@@ -453,15 +464,15 @@ purchased AS (
   WHERE InvoiceNo NOT LIKE 'C%' AND CustomerID IN (SELECT CustomerID FROM best)
   GROUP BY CustomerID, Description, UnitPrice),
 top AS (
-  SELECT *, ROUND(UnitPrice * CAST(total_purchased AS BIGINT), 2) AS total_revenue FROM purchased
+  SELECT *, ROUND(UnitPrice * total_purchased, 2) AS total_revenue FROM purchased
   ORDER BY total_revenue DESC, Description, UnitPrice LIMIT 5)
-SELECT CustomerID, Description, CAST(UnitPrice AS DOUBLE) AS UnitPrice, CAST(total_purchased AS BIGINT) AS total_purchased,
+SELECT CustomerID, Description, CAST(UnitPrice AS DOUBLE) AS UnitPrice, CAST(total_purchased AS DOUBLE) AS total_purchased,
        CAST(total_revenue AS DOUBLE) AS total_revenue,
        ROUND(CAST(total_revenue AS DOUBLE) * 100 / CAST(SUM(total_revenue) OVER () AS DOUBLE), 2) AS share_pct
 FROM top""",
     "running_item_revenue": f"""WITH {PRICED_SQL}
 SELECT Description, CAST(InvoiceDate AS TIMESTAMP) AS InvoiceDate, order_key, line_number, part_key, supplier_key,
-       Quantity, CAST(revenue AS DOUBLE) AS revenue,
+       CAST(Quantity AS DOUBLE) AS Quantity, CAST(revenue AS DOUBLE) AS revenue,
        CAST(ROUND(SUM(p.revenue) OVER (PARTITION BY Description ORDER BY p.{ORDER_SQL}
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS DOUBLE) AS cumulative_rev
 FROM priced p""",
@@ -486,6 +497,6 @@ FROM retail WHERE InvoiceNo LIKE 'C%' GROUP BY Description ORDER BY total_value
     "running_returns": f"""WITH {RETAIL_SQL}
 SELECT Description, InvoiceNo, CAST(InvoiceDate AS TIMESTAMP) AS InvoiceDate, CustomerID, Country,
        CAST(-SUM(Quantity) OVER (PARTITION BY Description ORDER BY {ORDER_SQL}
-            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative_total_returned
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cumulative_total_returned
 FROM retail WHERE Description IN ({', '.join(f"'{c}'" for c in RETURNED_ITEMS)}) AND InvoiceNo LIKE 'C%'""",
 }

@@ -120,7 +120,7 @@ def regression_error(spark, folder):
     """List price times quantity as a prediction of the price charged for a line."""
     parts = given(spark, folder, "part").select("p_partkey", F.col("p_retailprice").cast(MONEY).alias("price"))
     lines = given(spark, folder, "lineitem").select(
-        "l_partkey", F.col("l_quantity").cast("int").alias("quantity"), F.col("l_extendedprice").cast(MONEY).alias("charged")
+        "l_partkey", F.col("l_quantity").cast("decimal(12,2)").alias("quantity"), F.col("l_extendedprice").cast(MONEY).alias("charged")
     )
     priced = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
     result = errors(priced, F.col("charged"), F.col("price") * F.col("quantity"))
@@ -196,7 +196,7 @@ SELECT vec_id, {_r(f'-ln({_CLIPPED})')} AS loss, {_r(f'-ln({_CLIPPED})')} AS los
 SELECT COUNT(*) AS n, {_r(f'AVG(-ln({_CLIPPED}))')} AS mean_loss,
        {_r('AVG(CASE WHEN list_position(p, list_max(p)) - 1 = label THEN 1.0 ELSE 0.0 END)')} AS accuracy FROM probs""",
     "regression_error": f"""WITH missed AS (
-  SELECT CAST(p_retailprice AS DECIMAL(18,2)) * CAST(l_quantity AS BIGINT) - CAST(l_extendedprice AS DECIMAL(18,2)) AS miss
+  SELECT CAST(p_retailprice AS DECIMAL(18,2)) * CAST(l_quantity AS DECIMAL(12,2)) - CAST(l_extendedprice AS DECIMAL(18,2)) AS miss
   FROM lineitem JOIN part ON l_partkey = p_partkey)
 SELECT COUNT(miss) AS n, {_r('AVG(ABS(CAST(miss AS DOUBLE)))')} AS mae, {_r('SQRT(AVG(CAST(miss AS DOUBLE) * CAST(miss AS DOUBLE)))')} AS rmse
 FROM missed""",

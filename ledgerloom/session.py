@@ -1,10 +1,8 @@
-"""Session settings and the shared folder for work tables."""
+"""Session settings."""
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: str = "8", app: str = "ledgerloom") -> SparkSession:
@@ -15,35 +13,9 @@ def local_session(cores: str = "8", app: str = "ledgerloom") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
+        # Small files are cut for all cores, as costly work per row may follow the scan.
+        .config("spark.sql.files.minPartitionNum", cores)
+        .config("spark.sql.files.openCostInBytes", "65536")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
-
-
-def shared_folder(spark: SparkSession) -> str | None:
-    """Folder all executors can reach, as named by the cluster in ``spark.checkpoint.dir``."""
-    return spark.conf.get("spark.checkpoint.dir", None)
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """Write an intermediate result to the shared folder and go on from there.
-
-    A parquet table rather than a checkpoint: each later use reads only the columns it needs.
-    Nothing is stored where no shared folder is named; the plan then stays in one piece.
-    """
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if not folder:
-        return df
-    path = f"{folder.rstrip('/')}/ledgerloom-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give all cores a part of an input that comes in fewer splits than there are cores.
-
-    For scans ahead of costly work per row.  Large inputs have more splits and stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

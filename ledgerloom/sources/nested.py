@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 PHOTO_PAGE_SCHEMA = (
     "photos array<struct<id: bigint, sol: int, camera: struct<name: string>, img_src: string, earth_date: string, "
-    "rover: struct<name: string, status: string, max_sol: int, total_photos: int, launch_date: string, "
+    "rover: struct<name: string, status: string, max_sol: bigint, total_photos: bigint, launch_date: string, "
     "landing_date: string>>>"
 )
 
