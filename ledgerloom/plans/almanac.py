@@ -19,8 +19,19 @@ EVENT_TYPE = "view"
 NO_DAY = "(not in calendar)"
 
 
-def search(events: DataFrame, first_day: str, last_day: str, first_year: int, last_year: int, event_type: str) -> DataFrame:
-    """Events between two month-days and two years.  A range over New Year finds nothing.
+def search(entries: DataFrame, first_day: str, last_day: str, first_year: int, last_year: int, event_type: str) -> DataFrame:
+    """Entries (date, year, event_type) between two month-days and two years.  A range over New Year finds nothing."""
+    day = month_day_as_date(F.col("date"))
+    first, last = month_day_as_date(F.lit(first_day)), month_day_as_date(F.lit(last_day))
+    return entries.filter(
+        (F.col("event_type") == event_type)
+        & F.col("year").between(first_year, last_year)
+        & day.between(first, last)
+    )
+
+
+def search_times(events: DataFrame, first_day: str, last_day: str, first_year: int, last_year: int, event_type: str) -> DataFrame:
+    """The same for events with a timestamp ``ts``.
 
     The years are a range of the stored time, which the scan can use; the day is compared as a number.
     """
@@ -47,7 +58,7 @@ def as_entries(events: DataFrame) -> DataFrame:
 
 
 def month_day_year_search(spark, folder):
-    found = search(given(spark, folder, "events"), FIRST_DAY, LAST_DAY, FIRST_YEAR, LAST_YEAR, EVENT_TYPE)
+    found = search_times(given(spark, folder, "events"), FIRST_DAY, LAST_DAY, FIRST_YEAR, LAST_YEAR, EVENT_TYPE)
     return report(as_entries(found))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.text import filled_links
 from ..operators.similarity import most_similar
 from ..operators.terms import term_counts, term_rarity, term_weights, text_similarity
-from .almanac import EVENT_TYPE, FIRST_YEAR, ITEMS_SQL, LAST_YEAR, entry_table, search
+from .almanac import EVENT_TYPE, FIRST_YEAR, ITEMS_SQL, LAST_YEAR, entry_table, search_times
 from .common import given, report
 from .learning import DIGITS, SEARCH_TEXT, WORD_SQL, asked_weights
 
@@ -36,7 +36,7 @@ def filtered_text_search(spark, folder):
     )
     found = []
     for name, (first, last) in RANGES.items():
-        events = search(given(spark, folder, "events"), first, last, FIRST_YEAR, LAST_YEAR, EVENT_TYPE)
+        events = search_times(given(spark, folder, "events"), first, last, FIRST_YEAR, LAST_YEAR, EVENT_TYPE)
         texts = documents.join(events.select(F.col("event_id").alias("doc_id")), "doc_id", "left_semi")
         best = best_entry(spark, texts, SEARCH_TEXT).withColumn("page", F.col("doc_id") % PAGES)
         linked = best.join(links, "page", "left").select("doc_id", "similarity", "item_no", "l.tag", "l.link")

@@ -3,9 +3,10 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import modelling, similarity
+from ledgerloom.operators import modelling, similarity, terms
 from ledgerloom.operators.evaluation import binary_metrics
 from ledgerloom.operators.scoring import Layer, forward
+from ledgerloom.plans import learning
 
 PEOPLE = [("m", "First", 20.0), ("f", "Third", 30.0), ("f", None, 40.0), ("f", "Third", 10.0)]
 
@@ -35,12 +36,25 @@ def test_classifier_learns(spark):
     assert got.n == 600 and got.accuracy > 0.9 and got.auc > 0.95 and got.loss < 0.3
 
 
-def test_text_vectors_are_unit_vectors(spark):
-    df = spark.createDataFrame([(1, "red cup red"), (2, "blue cup"), (3, "red cup red")], "id int, t string")
-    out = modelling.text_pipeline("t").fit(df).transform(df).select("id", vector_to_array("vector").alias("v")).collect()
-    v = {r.id: np.array(r.v) for r in out}
-    assert np.linalg.norm(v[1]) == pytest.approx(1.0)
-    assert v[1] @ v[3] == pytest.approx(1.0) and v[1] @ v[2] < 0.5
+def test_term_weights_by_hand(spark):
+    df = spark.createDataFrame([(1, "Red cup, red"), (2, "blue cup"), (3, "red cup red"), (4, None), (5, "Ärger é 7")], "id int, t string")
+    counts = terms.term_counts(df, "id", "t")
+    assert sorted(tuple(r) for r in counts.collect() if r.id in (1, 5)) == [(1, "cup", 1), (1, "red", 2), (5, "7", 1), (5, "ärger", 1), (5, "é", 1)]
+    rarity = terms.term_rarity(counts, df)
+    known = {r.term: r.rarity for r in rarity.collect()}
+    assert known["cup"] == pytest.approx(np.log(6 / 4)) and known["blue"] == pytest.approx(np.log(6 / 2))
+    weights = terms.term_weights(counts, rarity)
+    asked = weights.filter("id = 1").select("term", "weight")
+    got = {r.id: r.similarity for r in terms.text_similarity(weights, "id", asked).collect()}
+    assert got[1] == pytest.approx(1) and got[3] == pytest.approx(1) and 0 < got[2] < 0.5 and got[5] == 0
+
+
+def test_classifier_beats_the_base_rate(spark):
+    folder = "/root/testdata/sf0.01"
+    got = learning.train_eval_classifier(spark, folder).first()
+    split = learning.classifier_split(spark, folder).filter("fold = 0").first()
+    base = split.positives / split.n
+    assert got.n == split.n and got.auc > 0.8 and got.precision > base and got.accuracy > base
 
 
 def test_embed_and_search(spark):
@@ -74,18 +88,3 @@ def test_forward_refuses_other_lengths(spark):
     df = spark.createDataFrame([([1.0, 2.0],), ([1.0, 2.0, 3.0, 4.0],)], "v array<double>").coalesce(1)
     with pytest.raises(Exception, match="length 3"):
         forward(df, "v", [Layer([[1.0, 1.0, 1.0]], [0.0])], "out").collect()
-
-
-def test_most_similar_text_by_brute_force(spark):
-    from ledgerloom.plans import learning
-    from ledgerloom.plans.common import given
-
-    folder = "/root/testdata/sf0.001"
-    documents = given(spark, folder, "documents").select("doc_id", "text")
-    model = modelling.text_pipeline("text").fit(documents)
-    asked = spark.createDataFrame([(learning.SEARCH_TEXT,)], "text string")
-    q = np.array(model.transform(asked).select(vector_to_array("vector")).first()[0])
-    rows = model.transform(documents).select("doc_id", vector_to_array("vector").alias("v")).collect()
-    score, doc = max((float(np.dot(r.v, q)), -r.doc_id) for r in rows)
-    got = learning.most_similar_text(spark, folder).first()
-    assert (got.doc_id, got.similarity) == (-doc, pytest.approx(score, abs=1e-6))

@@ -10,7 +10,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry
-from ledgerloom.plans import almanac, captures, learning, panel, profiling, retail, vectors
+from ledgerloom.plans import almanac, captures, finder, learning, panel, profiling, retail, vectors
 from tools.compare import TABLES, duck, rows_of
 
 NAMES = ["blue ring", "hot bolt", "large plate", "red cup", None]
@@ -62,8 +62,8 @@ def build(folder, n_lines, n_events, n_pages, seed=11):
     for i in range(n_lines):
         order = rng.choice([5000, 5000, 10000, 7, *range(0, 1500000, 5000)])
         part = rng.choice([0, 0, 0, 1000, *range(40)]) if i % 3 else 1
-        quantity = float(rng.randint(1, 50))
-        flag = rng.choice("RAN")
+        quantity = rng.choice([float(rng.randint(1, 50)), 1.5, 2.25])
+        flag = rng.choice(["R", "A", "N", None])
         price = None if i % 50 == 0 else rng.choice([1e6, rng.randint(100, 9999999) / 100])
         lines.append((order, part, i % 10, i, quantity, price, 0.1, 0.02, flag, "O", "2000-01-01 00:00:00"))
     write(
@@ -75,9 +75,9 @@ def build(folder, n_lines, n_events, n_pages, seed=11):
     )
     events = []
     for i in range(n_events):
-        ts = f"2024-{rng.choice(['01', '01', '02'])}-{rng.randint(1, 28):02d} {rng.randint(0, 23):02d}:00:01"
+        ts = f"2024-{rng.choice(['01', '01', '02'])}-{rng.randint(1, 29):02d} {rng.randint(0, 23):02d}:00:01"
         kind = "view" if i % 3 else rng.choice(["click", "error", None])
-        events.append((i, ts, rng.choice([1, 1, 1, 2, 3]), kind, 1.0, f'{{"k": {rng.randint(0, 9)}}}'))
+        events.append((i, ts, rng.choice([1, 1, 1, 2, 3, 3_000_000_000]), kind, 1.0, f'{{"k": {rng.randint(0, 9)}}}'))
     write(
         folder, "events",
         "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type VARCHAR, value DOUBLE, props VARCHAR", events,
@@ -115,8 +115,23 @@ def empty(tmp_path_factory):
     return folder, duck(folder)
 
 
+def test_an_unknown_nation_is_a_column_of_its_own(spark, tmp_path):
+    folder = str(tmp_path)
+    build(folder, 500, 0, 0)
+    write(folder, "nation", "n_nationkey INTEGER, n_name VARCHAR, n_regionkey INTEGER", [(i, f"NATION_{i}" if i != 3 else "NEWLAND", 0) for i in range(25)])
+    wide = panel.long_to_wide(spark, folder)
+    assert "NEWLAND" in wide.columns and wide.filter("NEWLAND IS NOT NULL").count() > 0
+    check(spark, folder, duck(folder), "wide_to_long")
+
+
+def test_events_of_the_leap_day_are_counted(spark, odd):
+    days = almanac.valid_month_days(spark, odd[0]).collect()
+    assert len(days) == 366 and sum(r.events for r in days) == 600
+    assert next(r for r in days if r.day_of_year is None).events > 0
+
+
 AREAS = {**retail.QUERIES, **panel.QUERIES, **captures.QUERIES, **almanac.QUERIES}
-MEASURED = {**vectors.QUERIES, **profiling.QUERIES, "one_hot_features": learning.one_hot_features}
+MEASURED = {**vectors.QUERIES, **profiling.QUERIES, "one_hot_features": learning.one_hot_features, **{k: v for k, v in learning.QUERIES.items() if k != "train_eval_classifier"}, **finder.QUERIES}
 
 
 def check(spark, folder, con, name):

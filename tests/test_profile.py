@@ -29,6 +29,16 @@ def test_quantiles(spark, numbers, n):
     assert got == pytest.approx(dict(zip(points, np.quantile(some, points))))
 
 
+def test_not_a_number_sorts_last(spark):
+    """As Spark's percentile has it: NaN is the largest value."""
+    nan = float("nan")
+    df = spark.createDataFrame([(x,) for x in (1.0, 2.0, 3.0, 4.0, nan, nan)], "a double")
+    got = {r.point: r.value for r in profile.quantiles(df, ["a"]).collect()}
+    assert got[0.25] == 2.25 and got[0.5] == 3.5 and np.isnan(got[0.75])
+    scored = spark.createDataFrame([(0.1, 0), (0.2, 0), (nan, 1), (float("inf"), 1)], "p double, y int")
+    assert evaluation.area_under_roc(scored, "y", "p").first().auc == 1
+
+
 def test_describe(table, numbers):
     got = {r.column_name: r for r in profile.describe(table, ["a", "b"]).collect()}["a"]
     assert got.n == len(numbers)

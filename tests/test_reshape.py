@@ -101,11 +101,20 @@ def test_trailing_window(spark):
     assert sorted(r.sol for r in filters.trailing_window(df, "sol", 2).collect()) == [9, 10, 10]
 
 
-def test_parameter_tables(spark, plan, monkeypatch):
-    short = params.parameter_table(spark, [(1, "a"), (2, None)], {"n": "int", "s": "string"})
+def test_parameter_tables(spark):
+    columns = {"n": "int", "s": "string"}
+    short = params.parameter_table(spark, [(1, "a"), (2, None)], columns)
     assert sorted(map(tuple, short.collect())) == [(1, "a"), (2, None)]
-    monkeypatch.setattr(params, "MAX_BROADCAST_ROWS", 1)
-    long_list = params.parameter_table(spark, [(1, "a"), (2, None)], {"n": "int", "s": "string"})
-    assert sorted(map(tuple, long_list.collect())) == [(1, "a"), (2, None)]
-    joined = spark.range(3).join(long_list, F.col("id") == F.col("n"))
+    assert params.parameter_table(spark, [], columns).collect() == []
+    joined = spark.range(3).join(short, F.col("id") == F.col("n"))
     assert "hint" not in joined._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_heading_faults(spark):
+    mapping = [(2000, 2001, "A", "m"), (2002, 2003, "B", "m"), (2000, 2003, "C", "n")]
+    rows = [(2000, "A"), (2000, "C"), (2001, "A"), (2001, "C"), (2002, "A"), (2002, "C"), (2003, "B"), (2003, "unknown")]
+    long = spark.createDataFrame(rows, "year int, label string")
+    faults = sorted(tuple(r) for r in reshape.heading_faults(long, mapping).collect())
+    assert faults == [(2002, "m", 0), (2003, "n", 0)]
+    mapped = sorted(tuple(r) for r in reshape.map_headings(long, mapping).select("year", "metric").collect())
+    assert (2003, "n") not in mapped and (2002, "m") not in mapped and len(mapped) == 6

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.reshape import heading_faults, map_headings
-from ledgerloom.plans.almanac import search
+from ledgerloom.plans.almanac import search, search_times
 from ledgerloom.sources import calendar, delimited, html, nested, survey_labels, tables
 
 # ---------------------------------------------------------------- delimited text
@@ -181,6 +181,11 @@ def test_search(spark):
     events = spark.createDataFrame(rows, "date string, year int, event_type string")
     assert search(events, "January 5", "January 20", 1500, 1800, "event").count() == 2
     assert search(events, "December 20", "January 20", 1500, 1800, "event").isEmpty()
+    times = [("2001-01-05 00:00:00", "event"), ("2001-01-20 23:59:59", "event"), ("2001-01-21 00:00:00", "event"), ("2003-01-10 00:00:00", "event"), ("2000-02-29 01:00:00", "event")]
+    timed = spark.createDataFrame(times, "t string, event_type string").select(F.col("t").cast("timestamp_ntz").alias("ts"), "event_type")
+    assert search_times(timed, "January 5", "January 20", 2001, 2002, "event").count() == 2
+    assert search_times(timed, "February 29", "February 29", 2000, 2000, "event").count() == 1
+    assert search_times(timed, "December 20", "January 20", 2000, 2003, "event").isEmpty()
 
 
 def test_workers_need_no_copy_of_the_package(tmp_path):
