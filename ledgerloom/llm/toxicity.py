@@ -3,8 +3,9 @@
 A window of words is the bag of the character n-grams of its words and of the words themselves, hashed into
 buckets that each have an embedding.  The mean embedding goes through a linear softmax.  A misspelt word
 shares most n-grams with the right one, so it scores near it without having been seen.  A document's
-score is that of its worst window, in training too: the gradient of a document goes to its worst
-windows, so a few words in a long text count.
+score is that of its worst window, in training too: after some epochs that tell which subwords are
+suspect at all, the gradient of a document goes to its worst windows, so a few words in a long text count.
+Embeddings start near zero, so subwords that were never seen say nothing.
 """
 
 from __future__ import annotations
@@ -22,10 +23,12 @@ from .storage import id_bucket
 BUCKET_BITS = 18
 SIZES = (3, 4, 5)
 DIMENSIONS = 8
-WINDOW = 12
+WINDOW = 8
 #: Bounds of the sample that the driver trains on: labelled rows of each class, chosen by a hash.
 TOXIC_ROWS, CLEAN_ROWS = 800, 1200
 EPOCHS = 30
+#: Epochs in which a toxic document trains many of its windows, from half of them down to the worst; and worst windows of a clean one.
+WARM, CLEAN_WINDOWS = 6, 4
 BLOCK = 1 << 19
 
 
@@ -123,7 +126,7 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 3) -> Model:
     at = np.concatenate([[0], np.cumsum(sizes)])
     has, where = np.unique(doc, return_index=True)
     ends = np.concatenate([where[1:], [len(doc)]])
-    embed = rng.normal(0, 0.1, (buckets, DIMENSIONS)).astype(np.float32)
+    embed = rng.normal(0, 0.001, (buckets, DIMENSIONS)).astype(np.float32)
     soft = rng.normal(0, 0.5, (2, DIMENSIONS)).astype(np.float32)
     bias = np.zeros(2)
     embed_sq, soft_sq, bias_sq = np.full(buckets, 1e-4, np.float32), np.full((2, DIMENSIONS), 1e-4), np.full(2, 1e-4)
@@ -135,7 +138,7 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 3) -> Model:
         chosen, label = [], []
         for k, d in enumerate(has):
             own = means[where[k] : ends[k]]
-            many = 1 if toxic[d] else 3
+            many = max(1, int(len(own) * 0.5 * (1 - epoch / WARM))) if toxic[d] else CLEAN_WINDOWS
             best = np.argpartition(own, -many)[-many:] if len(own) > many else np.arange(len(own))
             if not toxic[d]:
                 best = np.append(best, rng.integers(len(own)))
@@ -152,7 +155,7 @@ def _runs(n: int, size: int) -> list[tuple[int, int]]:
     return [(i, min(n, i + size)) for i in range(0, n, size)]
 
 
-def _step(flat, at, sizes, windows, label, embed, soft, bias, embed_sq, soft_sq, bias_sq, rate=0.3) -> None:
+def _step(flat, at, sizes, windows, label, embed, soft, bias, embed_sq, soft_sq, bias_sq, rate=0.1) -> None:
     length = sizes[windows]
     rows = np.concatenate([flat[at[w] : at[w + 1]] for w in windows])
     owner = np.repeat(np.arange(len(windows)), length)
