@@ -9,7 +9,7 @@ from ledgerloom.llm.mixing import mixed
 from ledgerloom.llm.ngram_jaccard import jaccard_components
 from ledgerloom.llm.queries import MIX, SHARDS
 from ledgerloom.llm.sharding import sharded
-from ledgerloom.llm.storage import keep, table
+from ledgerloom.llm.storage import all_of, free_name, keep, table
 from ledgerloom.llm.toxicity import toxicity
 
 #: The last stage does not return the columns of documents but the places of documents in shards.
@@ -19,25 +19,26 @@ ORACLE_SQL = None
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject.  Rows with a null id cannot be named and stay."""
     judged = toxicity(docs, table(spark, sf_dir, "labels"))
-    return docs.join(judged.filter("predicted = 1").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(judged.filter("predicted = 1").select("doc_id"), "doc_id", "left_anti").select(*all_of(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five words, 0.8): the one that names the group."""
     groups = jaccard_components(docs, words=5, percent=80)
-    return docs.join(groups.filter("component_id <> doc_id").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(groups.filter("component_id <> doc_id").select("doc_id"), "doc_id", "left_anti").select(*all_of(docs))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*all_of(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes at all, whole; one that it takes in several epochs is there several times."""
-    taken = mixed(docs, MIX).groupBy("doc_id").agg(F.countDistinct("epoch").cast("int").alias("_times"))
-    times = docs.join(taken, "doc_id")
-    return times.withColumn("_nth", F.explode(F.sequence(F.lit(1), "_times"))).select(docs.columns)
+    times, nth = free_name(docs, "times"), free_name(docs, "nth")
+    taken = mixed(docs, MIX).groupBy("doc_id").agg(F.countDistinct("epoch").cast("int").alias(times))
+    again = docs.join(taken, "doc_id").withColumn(nth, F.explode(F.sequence(F.lit(1), times)))
+    return again.select(*all_of(docs))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,6 +39,19 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def all_of(df: DataFrame) -> list[Column]:
+    """The table's own columns, whatever their names."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(column: Column) -> Column:
     """A-Z to a-z, all else as it is."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
