@@ -129,25 +129,25 @@ def document_seeds(docs: DataFrame, bits: np.ndarray, short: list[int]) -> DataF
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, item, at, equal): the best window around each hit; short items are equal as a whole."""
+    """(id, item, at, equal): every window around a hit that is equal enough; short items are equal as a whole."""
     for batch in batches:
-        short = batch.column("short").to_numpy()
-        at = batch.column("at").to_numpy()
-        best, where = short.astype(np.int64), at.copy()
+        short, at = batch.column("short").to_numpy(), batch.column("at").to_numpy()
+        row, place, equal = [np.flatnonzero(short > 0)], [at[short > 0]], [short[short > 0].astype(np.int64)]
         long = np.flatnonzero(short == 0)
         if len(long):
             x, y = (
                 np.frombuffer(b"".join(batch.column(c).take(pa.array(long)).to_pylist()), np.uint64).reshape(-1, REACH) for c in ("around", "item_around")
             )
-            same = x == y
-            inside = (x != DOC_EDGE) & (y != ITEM_EDGE)
-            windows = range(REACH - WINDOW + 1)
-            equal = np.stack([np.where(inside[:, s : s + WINDOW].all(axis=1), same[:, s : s + WINDOW].sum(axis=1), 0) for s in windows], axis=1)
-            best[long] = equal.max(axis=1)
-            where[long] = at[long] - SIDE + equal.argmax(axis=1)
-        ok = (short > 0) | (best >= WINDOW - CHANGED)
+            same, inside = x == y, (x != DOC_EDGE) & (y != ITEM_EDGE)
+            for s in range(REACH - WINDOW + 1):
+                found = same[:, s : s + WINDOW].sum(axis=1)
+                ok = (found >= WINDOW - CHANGED) & inside[:, s : s + WINDOW].all(axis=1)
+                row.append(long[ok])
+                place.append(at[long[ok]] - SIDE + s)
+                equal.append(found[ok])
+        rows = pa.array(np.concatenate(row))
         yield pa.RecordBatch.from_pydict(
-            {"id": batch.column("id").filter(pa.array(ok)), "item": batch.column("item").filter(pa.array(ok)), "at": where[ok], "equal": best[ok]}
+            {"id": batch.column("id").take(rows), "item": batch.column("item").take(rows), "at": np.concatenate(place), "equal": np.concatenate(equal)}
         )
 
 
@@ -159,8 +159,8 @@ def contaminated(
     Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased.  A passage is a window of 13 words of
     which at least 11 are equal in place, or a whole item of 5 to 12 words.  Items with less are not looked for.  Of
     items that share the very words around a seed only the smallest id is named, so templates do not
-    multiply hits.  ``n_windows`` counts different places in the document, ``best_equal`` the equal words
-    of the best.  Null texts have no words; rows with a null id (of either table) are left out, as no row could name
+    multiply hits.  ``n_windows`` counts the places in the document where such a window starts, ``first_word`` is the first
+    of them, ``best_equal`` the equal words of the best.  Null texts have no words; rows with a null id (of either table) are left out, as no row could name
     them; rows that repeat an id count as one document.  Other columns are not read.
     """
     items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text")).filter("id IS NOT NULL")

@@ -137,7 +137,33 @@ UNION ALL
 SELECT doc_id, domain, language, origin, CAST(epochs AS BIGINT), n_tokens, CAST(least(n_tokens, prefix - before) AS BIGINT) FROM placed WHERE before < prefix"""
 
 
+# Eleven equal words of thirteen have a run of four, so an item and a document with a passage share four words in a row.
+_WORDS4 = "SELECT {0}, unnest(range(1, len(w) - 2)) AS p, w FROM {1} WHERE len(w) >= {2}"
+
 ORACLES = {
+    "op1_ngram_jaccard": f"""WITH RECURSIVE words AS (
+SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), {_UPPER}, {_LOWER}), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM words),
+tokens AS (SELECT doc_id, unnest(s) AS t FROM sets),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, COUNT(*) AS c FROM tokens x JOIN tokens y ON x.t = y.t AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b WHERE 100 * c >= 85 * (len(x.s) + len(y.s) - c)),
+ties AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, ties.b FROM reach JOIN ties ON ties.a = reach.r)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, MIN(r) AS component_id FROM sets JOIN reach USING (doc_id) GROUP BY doc_id, s""",
+    "op4_decontaminate": f"""WITH docs AS (
+SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), {_UPPER}, {_LOWER}), '[^\\x00-/:-`{{-\\x7f]+') AS w FROM documents),
+items AS (SELECT item_id, regexp_extract_all(translate(COALESCE(text, ''), {_UPPER}, {_LOWER}), '[^\\x00-/:-`{{-\\x7f]+') AS w FROM benchmark),
+places AS ({_WORDS4.format('doc_id', 'docs', 4)}),
+item_places AS ({_WORDS4.format('item_id', 'items', 5)}),
+runs AS (SELECT DISTINCT doc_id, item_id, places.p - item_places.p AS shift, places.w AS dw, item_places.w AS iw
+  FROM places JOIN item_places ON places.w[places.p:places.p + 3] = item_places.w[item_places.p:item_places.p + 3]),
+windows AS (SELECT doc_id, item_id, shift, dw, iw, least(13, len(iw)) AS size, unnest(range(1, len(iw) - least(13, len(iw)) + 2)) AS q FROM runs),
+matched AS (SELECT doc_id, item_id, q + shift - 1 AS place, size,
+  len(list_filter(range(0, size), lambda k: dw[q + shift + k] = iw[q + k])) AS equal
+  FROM windows WHERE q + shift >= 1 AND q + shift + size - 1 <= len(dw))
+SELECT doc_id, item_id, COUNT(DISTINCT place) AS n_windows, MAX(equal) AS best_equal, MIN(place) AS first_word
+FROM matched WHERE equal >= CASE WHEN size < 13 THEN size ELSE 11 END GROUP BY doc_id, item_id""",
     "op2_line_dedup": f"""WITH lines AS (
 SELECT doc_id, line, pos, translate(trim(line, {_BLANKS}), {_UPPER}, {_LOWER}) AS key
 FROM (SELECT doc_id, unnest(string_split(COALESCE(text, ''), chr(10))) AS line,

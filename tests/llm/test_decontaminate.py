@@ -7,8 +7,9 @@ from ledgerloom.llm.queries import op4_decontaminate
 from .tables import frame, plain_words, sentence
 
 
-def brute(docs, items):
-    found = set()
+def windows_brute(docs, items):
+    """{(doc, item): (n_windows, best_equal, first_word)}"""
+    found = {}
     for i, text, *_ in docs:
         if i is None:
             continue
@@ -17,17 +18,19 @@ def brute(docs, items):
             v = plain_words(item)
             if j is None or len(v) < LEAST:
                 continue
-            if len(v) < WINDOW:
-                if any(w[p : p + len(v)] == v for p in range(len(w) - len(v) + 1)):
-                    found.add((i, j))
-                continue
-            windows = [v[q : q + WINDOW] for q in range(len(v) - WINDOW + 1)]
-            for p in range(len(w) - WINDOW + 1):
-                own = w[p : p + WINDOW]
-                if any(sum(a == b for a, b in zip(own, x)) >= WINDOW - CHANGED for x in windows):
-                    found.add((i, j))
-                    break
-    return found
+            size = min(WINDOW, len(v))
+            least = WINDOW - CHANGED if size == WINDOW else size
+            parts = [v[q : q + size] for q in range(len(v) - size + 1)]
+            for p in range(len(w) - size + 1):
+                best = max(sum(a == b for a, b in zip(w[p : p + size], x)) for x in parts)
+                if best >= least:
+                    n, most, first = found.get((i, j), (set(), 0, p))
+                    found[i, j] = (n | {p}, max(most, best), min(first, p))
+    return {k: (len(n), most, first) for k, (n, most, first) in found.items()}
+
+
+def brute(docs, items):
+    return set(windows_brute(docs, items))
 
 
 def test_masks_hit_every_window_with_few_changes():
@@ -60,20 +63,24 @@ def cases():
 def test_against_brute_force(spark):
     docs, items = cases()
     table = spark.createDataFrame([(k, t, 1) for k, t in items], "item_id long, text string, id int")
-    got = {(r.doc_id, r.item_id) for r in contaminated(frame(spark, docs), table).collect()}
-    want = brute(docs, items)
+    rows = contaminated(frame(spark, docs), table).collect()
+    got = {(r.doc_id, r.item_id) for r in rows}
+    full = windows_brute(docs, items)
+    want = set(full)
     assert {i for i, _ in got} == {i for i, _ in want}
     same = {23: 3}  # of equal items the smallest is named
     assert got == {(i, same.get(j, j)) for i, j in want}
     assert len(want) > 40
+    once = {i for i in {i for i, *_ in docs} if [d[0] for d in docs].count(i) == 1}  # places of rows that repeat an id run together
+    assert all(tuple(r)[2:] == full[r.doc_id, r.item_id] for r in rows if r.doc_id in once)
 
 
 def test_given_documents_against_brute_force(spark):
     folder = "/root/testdata/sf0.001"
     docs = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text").collect()]
-    got = {(r.doc_id, r.item_id) for r in op4_decontaminate(spark, folder).collect()}
-    assert got == brute(docs, items) and got
+    got = {(r.doc_id, r.item_id): tuple(r)[2:] for r in op4_decontaminate(spark, folder).collect()}
+    assert got == windows_brute(docs, items) and got
 
 
 def test_empty_tables(spark):
