@@ -30,7 +30,7 @@ from .storage import fresh_path, keep
 LENGTH = 1024
 ROWS = 32
 #: Characters that are encoded at once, and pieces whose ids a worker remembers.
-BLOCK, CACHE = 1 << 20, 700_000
+BLOCK, CACHE = 1 << 20, 900_000
 
 
 def worker_state() -> dict:
@@ -69,48 +69,66 @@ class Encoder:
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = [x for x in range(256) if x not in plain]
         self.letters = {x: chr(256 + i) for i, x in enumerate(others)}
-        self.known: dict[str, bytes] = worker_state().setdefault(("pieces", zlib.crc32(definition.encode()), kind), {})
-
-    def _pieces(self, text: str) -> list[str]:
+        # ids of pieces that follow a space (written without it), and of others
+        kept = worker_state()
+        mark = zlib.crc32(definition.encode()), kind
+        self.after: dict[str, bytes] = kept.setdefault(("after", *mark), {})
+        self.bare: dict[str, bytes] = kept.setdefault(("bare", *mark), {})
+
+    def _pieces(self, text: str) -> tuple[str, list[str]]:
+        """What stands before the first cut, and the pieces after it without their leading space."""
         first, *rest = text.split(" ")
-        pieces = [first, *[" " + part for part in rest]]
         if not self.blank_before_space.search(text):
-            return pieces
+            return first, rest
         joined = [first]
-        for piece in pieces[1:]:
+        for part in rest:
             if not joined[-1] or joined[-1][-1].isspace():
-                joined[-1] += piece
+                joined[-1] += " " + part
             else:
-                joined.append(piece)
-        return joined
-
-    def _piece(self, piece: str) -> bytes:
-        tokenize, letters = self.model.tokenize, self.letters
-        body = piece[1:] if piece[:1] == " " else piece
-        if body.isalpha() and body.isascii():  # one word, written as it is
-            words = [letters[0x20] + body if len(body) < len(piece) else body]
-        else:
-            words = [w.encode().decode("latin-1").translate(letters) for w in self.cut(piece)]
-        return array(self.code, [t.id for w in words for t in tokenize(w)]).tobytes()
+                joined.append(" " + part)
+        return joined[0], [piece[1:] for piece in joined[1:]]
+
+    def _word(self, word: str, space: bool) -> bytes:
+        """Ids of what the pattern does not cut."""
+        own = word if word.isascii() and word.isalpha() else word.encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.model.tokenize(self.letters[0x20] + own if space else own)]).tobytes()
+
+    def _piece(self, piece: str, space: bool) -> bytes:
+        if piece.isalpha():
+            return self._word(piece, space)
+        out = []
+        for word in self.cut(" " + piece if space else piece):
+            led = word[0] == " " and len(word) > 1 and not word[1].isspace()
+            known, own = (self.after, word[1:]) if led else (self.bare, word)
+            ids = known.get(own)
+            if ids is None:
+                ids = known[own] = self._word(own, led)
+            out.append(ids)
+        return b"".join(out)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out, known = [], self.known
+        out, after, bare = [], self.after, self.bare
         for text in texts:
             if not self.by_pieces or any(a in text for a in self.added):
                 out.append(self._whole(text))
                 continue
-            pieces = self._pieces(text)
-            found = list(map(known.get, pieces))
+            first, rest = self._pieces(text)
+            found = list(map(after.get, rest))
             if None in found:
-                for i, piece in enumerate(pieces):
-                    if found[i] is None:
-                        found[i] = known[piece] = self._piece(piece)
-                if len(known) > CACHE:
-                    known.clear()
-            out.append(b"".join(found))
+                for i, ids in enumerate(found):
+                    if ids is None:
+                        found[i] = after[rest[i]] = self._piece(rest[i], True)
+                if len(after) > CACHE:
+                    after.clear()
+            ids = bare.get(first)
+            if ids is None:
+                ids = bare[first] = self._piece(first, False)
+                if len(bare) > CACHE // 10:
+                    bare.clear()
+            out.append(ids + b"".join(found))
         return out
 
 
