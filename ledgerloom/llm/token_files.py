@@ -30,7 +30,7 @@ from .storage import fresh_path, keep
 LENGTH = 1024
 ROWS = 32
 #: Characters that are encoded at once, and pieces whose ids a worker remembers.
-BLOCK, CACHE = 1 << 20, 900_000
+BLOCK, CACHE = 1 << 20, 1_300_000
 
 
 def worker_state() -> dict:
