@@ -39,7 +39,7 @@ NEAR, BEST = 6, 6
 #: Boxes of at most so many points are compared without a page.
 SMALL = 8
 #: Rounds of best partners at most; the last round finds what they leave.
-ROUNDS = 3
+ROUNDS = 1
 
 
 def need(a, b, t: int):
@@ -403,7 +403,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         last = label is not None or rounds == ROUNDS  # nothing found: the last round looks at all that is left
 
     # an id that repeats with different texts holds their classes together
-    member = own.select("id", "n", "s1", "s2").join(classes, ["s1", "s2"]).select("id", "n", "node")
+    member = keep(own.select("id", "n", "s1", "s2").join(classes, ["s1", "s2"]).select("id", "n", "node"), "jaccard-members")
     several = member.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("_last")).filter("a < _last")
     ties = member.join(several, "id").select("a", F.col("node").alias("b")).filter("a <> b")
     found = label if label is not None and ties.isEmpty() else components(links.unionByName(ties))
