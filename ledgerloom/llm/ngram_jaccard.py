@@ -333,7 +333,7 @@ def verified(pairs: DataFrame, sets: DataFrame, t: int) -> DataFrame:
 
 
 def different_boxes(boxes: DataFrame) -> DataFrame:
-    """(box, node) of one box of those that hold the same nodes, told by count and 128 bits of hash."""
+    """(box, node), each once; those of one box of the boxes that hold the same nodes, told by count and 128 bits of hash."""
     sides = [F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit("box"), F.col("node"))).alias("y")]
     alike = boxes.groupBy("box").agg(F.count("*").alias("n"), *sides)
     return boxes.join(alike.groupBy("n", "x", "y").agg(F.min("box").alias("box")).select("box"), "box", "left_semi")
@@ -357,16 +357,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     known = rows.filter("id IS NOT NULL")
-    all_points = keep(points(rows, words, percent, token_ranks(rows, words)), "jaccard-points")
+    all_points = keep(points(rows, words, percent, token_ranks(rows, words)).withColumn("row", F.monotonically_increasing_id()), "jaccard-points")
     own = all_points.filter("id IS NOT NULL AND n > 0")
-    classes = own.groupBy("s1", "s2").agg(F.min("id").alias("node"))
+    firsts = own.groupBy("s1", "s2").agg(F.min(F.struct("id", "row")).alias("first"))
+    classes = firsts.select("s1", "s2", F.col("first.id").alias("node"))
+    # one row of each set, also where whole rows repeat
     single = keep(
-        own.join(classes, ["s1", "s2"]).filter("id = node").select("node", "n", "counts", "boxes"), "jaccard-classes"
+        own.join(firsts, ["s1", "s2"]).filter("row = first.row").select(F.col("id").alias("node"), "n", "counts", "boxes"), "jaccard-classes"
     )
     by_box = Window.partitionBy("box").orderBy("node")
     boxes = single.select("node", F.explode("boxes").alias("box"))
     shared = boxes.withColumn("_p", F.lag("node").over(by_box)).withColumn("_n", F.lead("node").over(by_box))
-    met = keep(shared.filter("_p IS NOT NULL OR _n IS NOT NULL").select("box", "node"), "jaccard-boxes")
+    # a node with several sets may be in a box several times; different_boxes wants it once
+    met = keep(shared.filter("_p <> node OR _n <> node").select("box", "node").distinct(), "jaccard-boxes")
     open_boxes = keep(different_boxes(met), "jaccard-open")
     shapes = single.select("node", "n", "counts")
     inside = open_boxes.join(shapes, "node")

@@ -46,6 +46,22 @@ def test_large_group_of_near_copies_in_small_pages(spark, monkeypatch):
     assert got == sorted(jaccard_brute(rows, 3, 80), key=str)
 
 
+@pytest.mark.parametrize("texts", [1, 2])
+def test_pairs_of_near_copies_with_every_id_twice(spark, texts):
+    """Whole rows that repeat, and ids that repeat with two texts: boxes of different pairs must not be taken as equal."""
+    rng = random.Random(6)
+    rows = []
+    for pair in range(12):
+        base = sentence(rng, 80, 10**6).split()
+        for i in (2 * pair, 2 * pair + 1):
+            for k in range(texts):
+                text = [*base, f"end{i}", f"of{k}"]
+                rows += [(i, " ".join(text), "en", "src0")] * (3 - texts)
+    want = sorted(jaccard_brute(rows, 4, 85), key=str)
+    assert {c for _, _, c in want} == set(range(0, 24, 2))
+    assert rows_of(jaccard_components(frame(spark, rows), words=4, percent=85)) == want
+
+
 def test_empty_table(spark):
     assert jaccard_components(frame(spark, [])).count() == 0
 
