@@ -4,7 +4,7 @@ A seed is the hash of the words at a mask's positions, so a changed word at an i
 not change it.  The two masks hit every ``WINDOW``-word window in which at most ``CHANGED`` words differ
 (a test goes through all cases).  Documents send only seeds that a fixed-size bit filter of the benchmark's
 seeds lets pass; an exact join on the hash then pairs them, and the words around each hit are
-compared.
+compared.  Item seeds with the same words around are one class, compared once for all its items.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .hashing import NO_WORD, Words, blocks, mix, text_bytes, window_hash
+from .storage import keep
 
 WINDOW, CHANGED = 13, 2
 MASKS = ((0, 1, 3, 6, 7, 8), (0, 1, 4, 5, 6, 8))
@@ -129,7 +130,7 @@ def document_seeds(docs: DataFrame, bits: np.ndarray, short: list[int]) -> DataF
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, item, at, equal): every window around a hit that is equal enough; short items are equal as a whole."""
+    """(id, class, at, equal): every window around a hit that is equal enough; short items are equal as a whole."""
     for batch in batches:
         short, at = batch.column("short").to_numpy(), batch.column("at").to_numpy()
         row, place, equal = [np.flatnonzero(short > 0)], [at[short > 0]], [short[short > 0].astype(np.int64)]
@@ -147,7 +148,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 equal.append(found[ok])
         rows = pa.array(np.concatenate(row))
         yield pa.RecordBatch.from_pydict(
-            {"id": batch.column("id").take(rows), "item": batch.column("item").take(rows), "at": np.concatenate(place), "equal": np.concatenate(equal)}
+            {"id": batch.column("id").take(rows), "class": batch.column("class").take(rows), "at": np.concatenate(place), "equal": np.concatenate(equal)}
         )
 
 
@@ -157,21 +158,24 @@ def contaminated(
     """One row per document and benchmark item that share a passage: id, item id, n_windows, best_equal, first_word.
 
     Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased.  A passage is a window of 13 words of
-    which at least 11 are equal in place, or a whole item of 5 to 12 words.  Items with less are not looked for.  Of
-    items that share the very words around a seed only the smallest id is named, so templates do not
-    multiply hits.  ``n_windows`` counts the places in the document where such a window starts, ``first_word`` is the first
+    which at least 11 are equal in place, or a whole item of 5 to 12 words.  Items with less are not looked for.  Items
+    that share words have a row each.  ``n_windows`` counts the places in the document where such a window starts, ``first_word`` is the first
     of them, ``best_equal`` the equal words of the best.  Null texts have no words; rows with a null id (of either table) are left out, as no row could name
     them; rows that repeat an id count as one document.  Other columns are not read.
     """
     items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text")).filter("id IS NOT NULL")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id IS NOT NULL")
-    seeds = item_seeds(items)
+    seeds = keep(item_seeds(items).select("hash", "short", F.col("around").alias("item_around"), F.col("id").alias("item")).distinct(), "item-seeds")
     bits, short = seed_filter(seeds)
-    named = seeds.groupBy("hash", "short", F.col("around").alias("item_around")).agg(F.min("id").alias("item"))
-    hits = document_seeds(rows, bits, short).join(named, ["hash", "short"])
-    found = hits.select("id", "item", "at", "short", "around", "item_around").mapInArrow(_compare, "id long, item long, at long, equal long")
+    key = ["hash", "short", "item_around"]
+    classes = keep(seeds.select(*key).distinct().withColumn("class", F.monotonically_increasing_id()), "seed-classes")
+    same = seeds.alias("s").join(classes.alias("c"), [F.col(f"s.{k}").eqNullSafe(F.col(f"c.{k}")) for k in key])
+    members = same.select("class", "item")
+    hits = document_seeds(rows, bits, short).join(classes, ["hash", "short"])
+    found = hits.select("id", "class", "at", "short", "around", "item_around").mapInArrow(_compare, "id long, class long, at long, equal long")
+    once = found.groupBy("id", "class", "at").agg(F.max("equal").alias("equal"))
     return (
-        found.groupBy("id", "item", "at").agg(F.max("equal").alias("equal"))
+        once.join(members, "class").groupBy("id", "item", "at").agg(F.max("equal").alias("equal"))
         .groupBy("id", "item").agg(F.count("*").alias("n_windows"), F.max("equal").alias("best_equal"), F.min("at").alias("first_word"))
         .select(F.col("id").alias(id_col), F.col("item").alias(item_col), "n_windows", "best_equal", "first_word")
     )

@@ -75,6 +75,17 @@ def test_against_brute_force(spark):
     assert all(tuple(r)[2:] == full[r.doc_id, r.item_id] for r in rows if r.doc_id in once)
 
 
+def test_items_that_share_passages_have_a_row_each(spark):
+    rng = random.Random(8)
+    shared, short = sentence(rng, 30), sentence(rng, 7)
+    items = [(1, shared), (2, shared), (3, f"{shared} {sentence(rng, 20)}"), (4, f"{sentence(rng, 20)} {shared}"), (5, short), (6, short)]
+    docs = [(k, f"{sentence(rng, k)} {shared} {short} {sentence(rng, 9)}", "en", "a") for k in range(4)] + [(9, sentence(rng, 50), "en", "a")]
+    got = contaminated(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = windows_brute(docs, items)
+    assert len(want) == len(got) == 24
+    assert {(r.doc_id, r.item_id): tuple(r)[2:] for r in got} == want
+
+
 def test_given_documents_against_brute_force(spark):
     folder = "/root/testdata/sf0.001"
     docs = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
