@@ -34,11 +34,20 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mix takes at all, whole; one that it takes in several epochs is there several times."""
-    times, nth = free_name(docs, "times"), free_name(docs, "nth")
-    taken = mixed(docs, MIX).groupBy("doc_id").agg(F.countDistinct("epoch").cast("int").alias(times))
-    again = docs.join(taken, "doc_id").withColumn(nth, F.explode(F.sequence(F.lit(1), times)))
-    return again.select(*all_of(docs))
+    """Documents that the mix takes at all, whole; one that it takes in several epochs is there several times.
+
+    Rows with a null id are told apart by a number, stored with them.
+    """
+    times, nth, row = (free_name(docs, c) for c in ("times", "nth", "row"))
+    named = docs.filter("doc_id IS NOT NULL")
+    nameless = keep(docs.filter("doc_id IS NULL").withColumn(row, F.monotonically_increasing_id()), "mix-nameless")
+    read = [F.col(c) for c in ("doc_id", "text", "lang", "source")]
+    both = named.select(*read, F.lit(None).cast("long").alias(row)).unionByName(nameless.select(*read, row))
+    taken = keep(mixed(both, MIX, row_col=row).select("doc_id", F.col("row").alias(row), "epoch"), "mix-taken")
+    count = F.countDistinct("epoch").cast("int").alias(times)
+    again = named.join(taken.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(count), "doc_id").select(*all_of(docs), times)
+    others = nameless.join(taken.filter("doc_id IS NULL").groupBy(row).agg(count), row).select(*all_of(docs), times)
+    return again.unionByName(others).withColumn(nth, F.explode(F.sequence(F.lit(1), times))).select(*all_of(docs))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

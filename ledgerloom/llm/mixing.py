@@ -77,22 +77,26 @@ def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
 
 
 def mixed(
-    docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source"
+    docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per document and epoch that the mix takes: id, domain, language, origin, epoch, n_tokens, taken.
 
     Tokens are runs of non-blanks; null text has none, and documents without tokens are never taken.
     ``taken`` is below ``n_tokens`` only for the last document of a leaf's prefix.  A null language or
     source is a name of its own, ``(none)``.  Ties in the seeded order go by id; rows that repeat an
-    id follow each other.  Null ids are ordered as empty text.  Other columns are not read; an
+    id follow each other.  Null ids are ordered as empty text.  ``row_col``, a number
+    that tells such rows apart, is added to the result and breaks their ties.  Other columns are not read; an
     empty table gives no rows.
     """
     domain = F.lit(mix.rest)
     for name, sources in mix.domains.items():
         domain = F.when(F.col("origin").isin(sources), name).otherwise(domain)
+    row = [] if row_col is None else ["row"]
     rows = keep(
         docs.select(
             F.col(id_col).alias("id"),
+            *[F.col(row_col).alias(c) for c in row],
             F.coalesce(F.col(lang_col), F.lit("(none)")).alias("language"),
             F.coalesce(F.col(source_col), F.lit("(none)")).alias("origin"),
             F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(TOKEN)).cast("long").alias("n_tokens"),
@@ -110,20 +114,20 @@ def mixed(
     )
     due = rows.join(plan, TREE)
     whole = due.filter("epochs > 0").select(
-        "id", *TREE, F.explode(F.sequence(F.lit(0).cast("long"), F.col("epochs") - 1)).alias("epoch"), "n_tokens", F.col("n_tokens").alias("taken")
+        "id", *row, *TREE, F.explode(F.sequence(F.lit(0).cast("long"), F.col("epochs") - 1)).alias("epoch"), "n_tokens", F.col("n_tokens").alias("taken")
     )
     seeded = F.concat_ws(":", F.lit(str(mix.seed)), F.col("epochs").cast("string"), F.coalesce(F.col("id").cast("string"), F.lit("")))
     ordered = due.filter("prefix > 0").withColumn("_key", F.md5(seeded.cast("binary"))).withColumn("_part", F.substring("_key", 1, PART_DIGITS))
     parts = ordered.groupBy(*TREE, "_part").agg(F.sum("n_tokens").alias("_sum"))
     upto = Window.partitionBy(*TREE).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.select(*TREE, "_part", F.coalesce(F.sum("_sum").over(upto), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy(*TREE, "_part").orderBy("_key", "id").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*TREE, "_part").orderBy("_key", "id", *row).rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         ordered.join(starts, [*TREE, "_part"])
         .filter("_start < prefix")
         .withColumn("_before", F.col("_start") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
     )
     part = placed.filter("_before < prefix").select(
-        "id", *TREE, F.col("epochs").alias("epoch"), "n_tokens", F.least(F.col("n_tokens"), F.col("prefix") - F.col("_before")).alias("taken")
+        "id", *row, *TREE, F.col("epochs").alias("epoch"), "n_tokens", F.least(F.col("n_tokens"), F.col("prefix") - F.col("_before")).alias("taken")
     )
     return whole.unionByName(part).withColumnRenamed("id", id_col)

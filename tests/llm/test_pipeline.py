@@ -63,6 +63,15 @@ def test_stages_against_plain_versions(spark, which):
     assert sum(sizes) == sum(len((r[1] or "").encode()) + 1 for r in rows_of(mix))
 
 
+def test_mix_takes_rows_with_null_ids(spark):
+    rows = [(None if i % 3 else i, f"a b c d e{i}", "en", f"src{i % 2}") for i in range(60)]
+    got = rows_of(corpus_pipeline.mix_sources(spark, frame(spark, rows), FOLDER))
+    taken = [i for i, *_ in mixed_brute(rows, MIX)]
+    assert sorted((r[0] for r in got), key=str) == sorted(taken, key=str)
+    assert 0 < taken.count(None) == sum(r[0] is None for r in got)
+    assert set(got) <= set(rows)
+
+
 def test_run_is_the_stages_one_after_the_other(spark):
     got = corpus_pipeline.run(spark, FOLDER)
     want = stages(spark, table(spark, FOLDER, "documents"))[-1]
