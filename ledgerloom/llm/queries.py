@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .centroids import clusters
 from .decontaminate import contaminated
+from .divergence import source_divergence
 from .exact_dedup import exact_duplicates
 from .language_id import languages
 from .line_dedup import shared_line_dedup
 from .mixing import Mix, mixed
 from .ngram_jaccard import jaccard_components
 from .sharding import sharded
+from .simhash import simhash_components
 from .storage import table
 from .token_files import token_round_trip
 from .toxicity import toxicity
@@ -84,11 +87,24 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard, op2_line_dedup, op3_exact_dedup, op4_decontaminate, op5_source_mix,
         op6_url_filter, op7_sharding, op8_token_files, op9_toxicity, op10_language_id,
+        op11_simhash, op12_source_divergence, op13_centroid_clustering,
     )
 }
 
@@ -137,6 +153,31 @@ UNION ALL
 SELECT doc_id, domain, language, origin, CAST(epochs AS BIGINT), n_tokens, CAST(least(n_tokens, prefix - before) AS BIGINT) FROM placed WHERE before < prefix"""
 
 
+def _clusters_sql(k: int, rounds: int) -> str:
+    """Each round: every vector with its nearest centroid, then the floored means."""
+
+    def nearest(n: int) -> str:
+        return f"""near{n} AS MATERIALIZED (SELECT vec_id, v, min(struct_pack(d := CAST(list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), number := number)) AS best
+  FROM kept, centroids{n} GROUP BY vec_id, v)"""
+
+    def means(n: int) -> str:
+        return f"""sums{n} AS (SELECT number, i, SUM(x) AS s, COUNT(*) AS n FROM (SELECT best.number AS number, unnest(v) AS x, unnest(range(64)) AS i FROM near{n}) AS l GROUP BY number, i),
+means{n} AS (SELECT number, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM sums{n} GROUP BY number),
+centroids{n + 1} AS MATERIALIZED (SELECT number, COALESCE(m.c, o.c) AS c FROM centroids{n} AS o LEFT JOIN means{n} AS m USING (number))"""
+
+    steps = ",\n".join(f"{nearest(n)},\n{means(n)}" for n in range(rounds))
+    return f"""WITH kept AS MATERIALIZED (
+SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+centroids0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS INTEGER) AS number, v AS c
+  FROM kept ORDER BY sha256('1:' || vec_id) LIMIT {k}),
+{steps},
+{nearest(rounds)}
+SELECT vec_id, best.number AS cluster, best.d AS distance, CAST(SUM(best.d) OVER (PARTITION BY best.number) AS BIGINT) AS cluster_inertia,
+  CAST(SUM(best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM near{rounds} JOIN centroids{rounds} ON number = best.number"""
+
+
 # Eleven equal words of thirteen have a run of four, so an item and a document with a passage share four words in a row.
 _WORDS4 = "SELECT {0}, unnest(range(1, len(w) - 2)) AS p, w FROM {1} WHERE len(w) >= {2}"
 
@@ -178,6 +219,26 @@ FROM marked GROUP BY doc_id""",
   doc_id = MAX(doc_id) OVER (PARTITION BY COALESCE(text, '')) AS kept, sha256(COALESCE(text, '')) AS text_sha256
 FROM documents""",
     "op5_source_mix": _mix_sql(MIX),
+    "op12_source_divergence": f"""WITH docs AS (
+SELECT doc_id, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+  regexp_extract_all(translate(COALESCE(text, ''), {_UPPER}, {_LOWER}), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+words AS (SELECT doc_id, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, COUNT(*) AS everywhere FROM words GROUP BY lang, term HAVING COUNT(DISTINCT doc_id) >= 30),
+pools AS (SELECT DISTINCT lang, source FROM docs),
+counted AS (SELECT lang, source, term, COUNT(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+cells AS (SELECT lang, source, term, COALESCE(n, 0) AS n, everywhere FROM pools JOIN kept USING (lang) LEFT JOIN counted USING (lang, source, term)),
+shares AS (SELECT lang, source, term, n,
+  1 + CAST(1000000000 * CAST(n + 5 AS HUGEINT) // (SUM(n) OVER (PARTITION BY lang, source) + 5 * COUNT(*) OVER (PARTITION BY lang, source)) AS BIGINT) AS p FROM cells),
+whole AS (SELECT lang, term,
+  1 + CAST(1000000000 * CAST(everywhere + 5 AS HUGEINT) // (SUM(everywhere) OVER (PARTITION BY lang) + 5 * COUNT(*) OVER (PARTITION BY lang)) AS BIGINT) AS q FROM kept),
+far AS (SELECT x.lang, x.source, y.source AS item, CAST(SUM(abs(x.p - y.p)) AS BIGINT) AS value
+  FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+found AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, COALESCE(value, 0) AS value
+  FROM pools x JOIN pools y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN far ON far.lang = x.lang AND far.source = x.source AND far.item = y.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM found)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50""",
+    "op13_centroid_clustering": _clusters_sql(16, 3),
     "op6_url_filter": f"""WITH cut AS (
 SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 parts AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS h FROM cut),
