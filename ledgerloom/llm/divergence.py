@@ -35,7 +35,8 @@ def _counts(batch: pa.RecordBatch) -> Iterator[pa.Table]:
     _, offsets = text_bytes(batch.column("text"))
     for first, last in blocks(offsets):
         part = batch.slice(first, last - first)
-        lists = pc.split_pattern_regex(pc.ascii_lower(part.column("text").cast(pa.large_string())), GAPS)
+        # lowered before the cast: of a slice that was cast, ascii_lower reads the wrong bytes
+        lists = pc.split_pattern_regex(pc.ascii_lower(part.column("text")).cast(pa.large_string()), GAPS)
         parents, terms = pc.list_parent_indices(lists), pc.list_flatten(lists)
         some = pc.not_equal(terms, pa.scalar("", pa.large_string()))
         terms, parents = terms.filter(some).dictionary_encode(), parents.filter(some)

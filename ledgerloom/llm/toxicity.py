@@ -195,10 +195,11 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tu
 
 def toxicity_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of every row; null, empty and wordless texts score 0.  Ids may be null or repeat."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** BUCKET_BITS numbers
+    # plain arrays: a broadcast object of this package would be looked for on the executors
+    shipped = docs.sparkSession.sparkContext.broadcast((model.weight, model.bias))  # 2 ** BUCKET_BITS numbers
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bags, own = Bags(), shipped.value
+        bags, own = Bags(), Model(*shipped.value)
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             for first, last in blocks(offsets, BLOCK):

@@ -57,6 +57,7 @@ def many(seed, n=300):
         rows.append((i, rng.choice([" ", "-", "\x00", "\n1"]).join(word() for _ in range(rng.randrange(60))), lang, source))
     rows += [(n + 1, None, "en", "only nulls"), (n + 2, "", "it", "x"), (n + 3, "1 2 3", "it", None), (n + 4, "ciao", "it", "y")]
     rows += [(n + 5, sentence(rng, 20000), "en", "src0"), (n + 6, "Zab " * 50000, "de", "a")]
+    rows[20:20] = [(n + 7, "Bäz é " * 400_000, "de", "b")]  # longer than a block of work
     return rows + rows[:40] + odd_rows(2)
 
 
