@@ -24,8 +24,9 @@ BUCKET_BITS = 18
 SIZES = (3, 4, 5)
 DIMENSIONS = 8
 WINDOW = 8
-#: Bounds of the sample that the driver trains on: labelled rows of each class, chosen by a hash.
+#: Bounds of the sample that one task trains on: labelled rows of each class, chosen by a hash, and characters of all their texts.
 TOXIC_ROWS, CLEAN_ROWS = 800, 1200
+SAMPLE_BYTES = 64 << 20
 EPOCHS = 30
 #: Epochs in which a toxic document trains many of its windows, from half of them down to the worst; and worst windows of a clean one.
 WARM, CLEAN_WINDOWS = 6, 4
@@ -178,19 +179,39 @@ def _step(flat, at, sizes, windows, label, embed, soft, bias, embed_sq, soft_sq,
     bias -= rate * bias_grad / np.sqrt(bias_sq)
 
 
-def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tuple[list[str], np.ndarray]:
-    """At most TOXIC_ROWS and CLEAN_ROWS labelled texts, the first by a hash of their id."""
-    texts, toxic = [], []
+def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(toxic, id, text): at most TOXIC_ROWS and CLEAN_ROWS labelled texts, the first by a hash of their id."""
+    parts = []
     marked = labels.filter("toxic IS NOT NULL").select(F.col("doc_id").alias("id"), "toxic")
     for value, rows in ((1, TOXIC_ROWS), (0, CLEAN_ROWS)):
         # the ids are chosen without the texts; only those rows meet the documents
         order = F.xxhash64(F.lit("toxicity"), F.col("id"))
         ids = marked.filter(F.col("toxic") == value).select("id", order.alias("_h")).distinct().orderBy("_h", "id").limit(rows)
         found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids.select("id")), "id")
-        part = [r.text or "" for r in found.orderBy("id", "text").limit(rows).collect()]
-        texts += part
-        toxic += [value] * len(part)
-    return texts, np.array(toxic, int)
+        parts.append(found.orderBy("id", "text").limit(rows).select(F.lit(value).alias("toxic"), "id", F.coalesce("text", F.lit("")).alias("text")))
+    return parts[0].unionByName(parts[1])
+
+
+def fitted(rows: DataFrame) -> Model:
+    """The model of a bounded sample (toxic, id, text), trained in one task, so that the driver holds no texts.
+
+    Texts that would take the sample over SAMPLE_BYTES are passed over.
+    """
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, toxic, size = [], [], 0
+        for batch in batches:
+            for label, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist()):
+                if size + len(text) <= SAMPLE_BYTES:
+                    texts.append(text)
+                    toxic.append(label)
+                    size += len(text)
+        model = train(texts, np.array(toxic, int))
+        yield pa.RecordBatch.from_pydict({"weight": pa.array([model.weight.tobytes()], pa.binary()), "bias": [model.bias]})
+
+    ordered = rows.repartition(1).sortWithinPartitions(F.desc("toxic"), "id", "text").select("toxic", "text")
+    row = ordered.mapInArrow(fit, "weight binary, bias double").first()
+    return Model(np.frombuffer(row.weight, np.float64), row.bias) if row else train([], np.array([], int))
 
 
 def toxicity_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -215,10 +236,12 @@ def toxicity(
     """One row per input row: id, held_out, score, predicted.
 
     Learns from labelled rows whose crc32 of the id modulo ``folds`` is not ``held_out``; only the text is
-    scored.  Without labels of both classes every text gets the share of toxic labels.  An empty table gives no rows.
+    scored.  Without labels of both classes every text gets the share of toxic labels.  A word that repeats the one
+    before it counts once.  Null, empty and wordless texts score 0; texts of any length are read whole.  Rows that
+    repeat are scored alike, rows with a null id are scored too.  Other columns are not read.  An empty table gives no rows.
     """
     learn = labels.filter(id_bucket(F.col("doc_id"), folds) != held_out)
-    model = train(*sample(docs, learn, id_col, text_col))
+    model = fitted(sample(docs, learn, id_col, text_col))
     scored = toxicity_scores(docs, model, id_col, text_col)
     return scored.select(
         id_col, (id_bucket(F.col(id_col), folds) == held_out).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
