@@ -23,10 +23,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .graph import components
 from .hashing import Words, blocks, mix, shingle_sets, text_bytes
+from .heavy import join_counted
 from .storage import keep
 
 GROUPS = 256
@@ -84,9 +86,8 @@ def token_ranks(docs: DataFrame, k: int) -> np.ndarray:
     return ranks
 
 
-def points(docs: DataFrame, k: int, t: int, ranks: np.ndarray) -> DataFrame:
-    """docs (id, text) to (id, n, s1, s2, counts, boxes): set size, set digest, coarse counts, boxes."""
-    shipped = docs.sparkSession.sparkContext.broadcast(ranks)  # 2 MB, fixed by ORDER_BITS
+def points(docs: DataFrame, k: int, t: int, shipped: Broadcast) -> DataFrame:
+    """docs (id, text) to (id, n, s1, s2, counts, boxes): set size, set digest, coarse counts, boxes; shipped are token_ranks."""
     low = np.uint64((1 << (64 - ORDER_BITS)) - 1)
 
     def point(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,14 +358,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     known = rows.filter("id IS NOT NULL")
-    all_points = keep(points(rows, words, percent, token_ranks(rows, words)).withColumn("row", F.monotonically_increasing_id()), "jaccard-points")
+    shipped = docs.sparkSession.sparkContext.broadcast(token_ranks(rows, words))  # 2 MB, fixed by ORDER_BITS
+    all_points = keep(points(rows, words, percent, shipped).withColumn("row", F.monotonically_increasing_id()), "jaccard-points")
+    shipped.destroy()  # the points are stored
     own = all_points.filter("id IS NOT NULL AND n > 0")
-    firsts = own.groupBy("s1", "s2").agg(F.min(F.struct("id", "row")).alias("first"))
-    classes = firsts.select("s1", "s2", F.col("first.id").alias("node"))
+    firsts = own.groupBy("s1", "s2").agg(F.min(F.struct("id", "row")).alias("first"), F.count("*").alias("copies"))
+    classes = keep(firsts.select("s1", "s2", F.col("first.id").alias("node"), F.col("first.row").alias("row"), "copies"), "jaccard-sets-once")
     # one row of each set, also where whole rows repeat
-    single = keep(
-        own.join(firsts, ["s1", "s2"]).filter("row = first.row").select(F.col("id").alias("node"), "n", "counts", "boxes"), "jaccard-classes"
-    )
+    single = keep(own.join(classes.select("row"), "row").select(F.col("id").alias("node"), "n", "counts", "boxes"), "jaccard-classes")
     by_box = Window.partitionBy("box").orderBy("node")
     boxes = single.select("node", F.explode("boxes").alias("box"))
     shared = boxes.withColumn("_p", F.lag("node").over(by_box)).withColumn("_n", F.lead("node").over(by_box))
@@ -406,7 +407,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         last = label is not None or rounds == ROUNDS  # nothing found: the last round looks at all that is left
 
     # an id that repeats with different texts holds their classes together
-    member = keep(own.select("id", "n", "s1", "s2").join(classes, ["s1", "s2"]).select("id", "n", "node"), "jaccard-members")
+    member = join_counted(own.select("id", "n", "s1", "s2"), classes.drop("row"), ["s1", "s2"], "copies")
+    member = keep(member.select("id", "n", "node"), "jaccard-members")
     several = member.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("_last")).filter("a < _last")
     ties = member.join(several, "id").select("a", F.col("node").alias("b")).filter("a <> b")
     found = label if label is not None and ties.isEmpty() else components(links.unionByName(ties))
