@@ -25,9 +25,9 @@ SMOOTH = 5
 ONE = 1_000_000_000
 TOP = 50
 #: Distinct (language, source, term) that a task holds before it passes them on.
-HELD = 1 << 19
+HELD = 1 << 18
 #: Kept terms of a shard, about; and cells of a matrix.
-SHARD_TERMS, CELLS = 50_000, 1 << 21
+SHARD_TERMS, CELLS = 2_000, 1 << 21
 
 
 def _counts(batch: pa.RecordBatch) -> Iterator[pa.Table]:

@@ -16,7 +16,6 @@ from .learning import DIGITS, SEARCH_TEXT, WORD_SQL, asked_weights
 
 # Parameters of the registered query: the second range goes over New Year, so nothing lies in it.
 RANGES = {"January": ("January 1", "January 31"), "New Year": ("December 20", "January 10")}
-PAGES = 50
 NOTHING = "(nothing found)"
 
 
@@ -31,6 +30,7 @@ def best_entry(spark, texts: DataFrame, text: str) -> DataFrame:
 def filtered_text_search(spark, folder):
     """Per range of days: the best entry with its links, or one row that says that there is none."""
     documents = given(spark, folder, "documents").select("doc_id", "text")
+    pages = given(spark, folder, "pages").select(F.count("*").alias("n")).scalar()
     links = entry_table(spark, folder).select(
         F.col("page_id").alias("page"), F.col("item_no").alias("item_no"), F.explode(filled_links(F.col("links"))).alias("l")
     )
@@ -38,7 +38,7 @@ def filtered_text_search(spark, folder):
     for name, (first, last) in RANGES.items():
         events = search_times(given(spark, folder, "events"), first, last, FIRST_YEAR, LAST_YEAR, EVENT_TYPE)
         texts = documents.join(events.select(F.col("event_id").alias("doc_id")), "doc_id", "left_semi")
-        best = best_entry(spark, texts, SEARCH_TEXT).withColumn("page", F.col("doc_id") % PAGES)
+        best = best_entry(spark, texts, SEARCH_TEXT).withColumn("page", F.col("doc_id") % F.nullif(pages, F.lit(0)))
         linked = best.join(links, "page", "left").select("doc_id", "similarity", "item_no", "l.tag", "l.link")
         # one asked range, with or without an answer
         asked = spark.range(1).select(F.lit(name).alias("asked"), F.lit(1).alias("_one"))
@@ -75,5 +75,5 @@ best AS (SELECT * FROM scored QUALIFY ROW_NUMBER() OVER (PARTITION BY asked ORDE
 ranges AS (SELECT unnest([{', '.join(repr(k) for k in RANGES)}]) AS asked)
 SELECT r.asked, doc_id, similarity, item_no, tag, link, CASE WHEN doc_id IS NULL THEN '{NOTHING}' END AS note
 FROM ranges AS r LEFT JOIN best AS b ON b.asked = r.asked
-LEFT JOIN (SELECT * FROM items WHERE linked) AS i ON i.page_id = doc_id % {PAGES}""",
+LEFT JOIN (SELECT * FROM items WHERE linked) AS i ON i.page_id = doc_id % (SELECT COUNT(*) FROM pages)""",
 }

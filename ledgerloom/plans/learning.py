@@ -45,7 +45,7 @@ def text_vectors(spark, folder):
 
 def asked_weights(spark, text: str, rarity: DataFrame) -> DataFrame:
     asked = spark.range(1).select(F.lit(0).alias("asked"), F.lit(text).alias("text"))
-    return term_weights(term_counts(asked, "asked", "text"), rarity)
+    return term_weights(term_counts(asked, "asked", "text"), rarity, deal=False)
 
 
 def most_similar_text(spark, folder):

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import arrays as A
 from ..operators.evaluation import regression_error as errors
+from ..operators.neighbours import exact_neighbours, indexed_neighbours, recall
 from ..operators.scoring import Layer, forward
+from ..operators.skew import join_skewed
 from ..operators.similarity import most_similar as best_match, score_against_row
 from .common import given, report
 from .retail import MONEY
@@ -15,6 +17,8 @@ from .retail import MONEY
 QUERY_ID = 0
 INPUTS, HIDDEN, CLASSES = 64, 16, 10
 DIGITS = 6
+#: Every row whose number is divisible by this is a query against all rows; so many neighbours each; least share that the index finds.
+QUERY_STEP, NEIGHBOURS, LEAST_RECALL = 50, 10, 0.9
 
 
 def layer(neurons: int, inputs: int, relu: bool = False) -> Layer:
@@ -54,6 +58,25 @@ def most_similar(spark, folder):
     return report(best_match(scored, "vec_id").select("vec_id", "label", *rounded("similarity")))
 
 
+def _asked_and_all(spark, folder) -> tuple[DataFrame, DataFrame]:
+    rows = given(spark, folder, "embeddings").select("vec_id", "embedding")
+    return rows.filter(F.col("vec_id") % QUERY_STEP == 0), rows
+
+
+def similar_vectors(spark, folder):
+    """The nearest neighbours of many vectors at once, exact."""
+    found = exact_neighbours(*_asked_and_all(spark, folder), "vec_id", "embedding", NEIGHBOURS, INPUTS, DIGITS)
+    return report(found.select(F.col("query").alias("query_id"), F.col("key").alias("vec_id"), "similarity", "place"))
+
+
+def similarity_index_recall(spark, folder):
+    """Neighbours found through the hash tables against the exact ones."""
+    asked = _asked_and_all(spark, folder)
+    found = indexed_neighbours(*asked, "vec_id", "embedding", NEIGHBOURS, INPUTS, digits=DIGITS)
+    measured = recall(found, exact_neighbours(*asked, "vec_id", "embedding", NEIGHBOURS, INPUTS, DIGITS))
+    return report(measured.select("queries", "wanted", (F.col("found") >= LEAST_RECALL * F.col("wanted")).alias("recall_reached")))
+
+
 def dense_forward(spark, folder):
     out = logits(spark, folder).select("vec_id", F.posexplode("logits").alias("neuron", "value"))
     return report(out.select("vec_id", "neuron", *rounded("value")))
@@ -122,7 +145,9 @@ def regression_error(spark, folder):
     lines = given(spark, folder, "lineitem").select(
         "l_partkey", F.col("l_quantity").cast("decimal(12,2)").alias("quantity"), F.col("l_extendedprice").cast(MONEY).alias("charged")
     )
-    priced = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    # a part may hold a large share of the lines, and every line goes on
+    keyed = lines.withColumnRenamed("l_partkey", "p_partkey")
+    priced = join_skewed(keyed, parts, "p_partkey", ["quantity", "charged"])
     result = errors(priced, F.col("charged"), F.col("price") * F.col("quantity"))
     return report(result.select("n", *rounded("mae", "rmse")))
 
@@ -141,7 +166,7 @@ def top5_classes(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        cosine_scores, most_similar, dense_forward, activations, vector_sums, softmax_scores,
+        cosine_scores, most_similar, similar_vectors, similarity_index_recall, dense_forward, activations, vector_sums, softmax_scores,
         cross_entropy, classification_accuracy, regression_error, top5_classes,
     )
 }
@@ -152,6 +177,12 @@ query AS (SELECT x AS q FROM vectors WHERE vec_id = {QUERY_ID}),
 scored AS (SELECT vec_id, label, list_cosine_similarity(x, q) AS similarity FROM vectors, query)"""
 
 
+NEIGHBOURS_SQL = f"""{VECTORS_SQL},
+pairs AS (SELECT a.vec_id AS query_id, b.vec_id, ROUND(list_cosine_similarity(a.x, b.x), {DIGITS}) + 0.0 AS similarity
+  FROM vectors a JOIN vectors b ON a.vec_id % {QUERY_STEP} = 0 AND a.vec_id <> b.vec_id),
+near AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS place FROM pairs)"""
+
+
 def _dense_sql(x: str, neurons: int, inputs: int) -> str:
     return (
         f"list_transform(range({neurons}), lambda j: list_sum(list_transform(range({inputs}), lambda i: "
@@ -173,11 +204,19 @@ def _r(expression: str) -> str:
 
 
 _CLIPPED = f"least(greatest(p[label + 1], {A.CLIP_LOW}), {A.CLIP_HIGH!r})"
+# the sum over all classes of the one-hot vector times the clipped probabilities, without looking one up by its number
+_ONE_HOT_LOSS = (
+    f"-ln(list_sum(list_transform(list_zip(p, list_transform(range({CLASSES}), lambda i: CASE WHEN i = label THEN 1.0 ELSE 0.0 END)), "
+    f"lambda z: least(greatest(z[1], {A.CLIP_LOW}), {A.CLIP_HIGH!r}) * z[2])))"
+)
 
 ORACLES = {
     "cosine_scores": f"WITH {COSINE_SQL} SELECT vec_id, {_r('similarity')} AS similarity FROM scored",
     "most_similar": f"""WITH {COSINE_SQL} SELECT vec_id, CAST(label AS BIGINT) AS label, {_r('similarity')} AS similarity
 FROM scored WHERE vec_id <> {QUERY_ID} ORDER BY scored.similarity DESC, vec_id LIMIT 1""",
+    "similar_vectors": f"""WITH {NEIGHBOURS_SQL} SELECT * FROM near WHERE place <= {NEIGHBOURS}""",
+    "similarity_index_recall": f"""WITH {NEIGHBOURS_SQL}
+SELECT COUNT(DISTINCT query_id) AS queries, COUNT(*) AS wanted, TRUE AS recall_reached FROM near WHERE place <= {NEIGHBOURS}""",
     "dense_forward": f"""WITH {LOGITS_SQL}, n AS (SELECT vec_id, logits, UNNEST(range({CLASSES})) AS neuron FROM scores)
 SELECT vec_id, neuron, {_r('logits[neuron + 1]')} AS value FROM n""",
     "activations": f"""WITH {VECTORS_SQL}, cells AS (SELECT vec_id, UNNEST(range(len(x))) AS position, UNNEST(x) AS v FROM vectors)
@@ -191,7 +230,7 @@ UNION ALL SELECT 'all', NULL, {_r('SUM(v)')}, {_r('AVG(v)')} FROM cells""",
     "softmax_scores": f"""WITH {SOFTMAX_SQL}, n AS (SELECT vec_id, p, UNNEST(range({CLASSES})) AS class FROM probs)
 SELECT vec_id, class, {_r('p[class + 1]')} AS probability FROM n""",
     "cross_entropy": f"""WITH {SOFTMAX_SQL}
-SELECT vec_id, {_r(f'-ln({_CLIPPED})')} AS loss, {_r(f'-ln({_CLIPPED})')} AS loss_one_hot FROM probs""",
+SELECT vec_id, {_r(f'-ln({_CLIPPED})')} AS loss, {_r(_ONE_HOT_LOSS)} AS loss_one_hot FROM probs""",
     "classification_accuracy": f"""WITH {SOFTMAX_SQL}
 SELECT COUNT(*) AS n, {_r(f'AVG(-ln({_CLIPPED}))')} AS mean_loss,
        {_r('AVG(CASE WHEN list_position(p, list_max(p)) - 1 = label THEN 1.0 ELSE 0.0 END)')} AS accuracy FROM probs""",

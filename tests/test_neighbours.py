@@ -1,0 +1,115 @@
+"""Neighbours of many vectors, and joins with heavy keys."""
+
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.operators.neighbours import exact_neighbours, indexed_neighbours, recall
+from ledgerloom.operators.skew import heavy_keys, join_skewed
+
+COLUMNS = "id long, x array<double>"
+
+
+def vectors(seed, n, dims=16):
+    rng = random.Random(seed)
+    centres = [[rng.gauss(0, 1) for _ in range(dims)] for _ in range(6)]
+    rows = [(i, [c + rng.gauss(0, 0.3) for c in rng.choice(centres)]) for i in range(n)]
+    rows += [(n + i, rows[0][1]) for i in range(15)]  # ties
+    odd = [None, [], [1.0] * (dims - 1), [0.0] * dims, [math.nan] * dims, [None] * dims, [math.inf] * dims]
+    return rows + [(n + 50 + i, v) for i, v in enumerate(odd)]
+
+
+def brute(rows, asked, k, dims=16):
+    good = [(i, v) for i, v in rows if v and len(v) == dims and all(a is not None and math.isfinite(a) for a in v) and any(v)]
+
+    def cosine(a, b):
+        dot = lambda x, y: sum(p * q for p, q in zip(x, y))
+        return round(dot(a, b) / math.sqrt(dot(a, a) * dot(b, b)), 6)
+
+    out = set()
+    for i, v in good:
+        if i in asked:
+            near = sorted((-cosine(v, w), j) for j, w in good if j != i)[:k]
+            out |= {(i, j, -s, place + 1) for place, (s, j) in enumerate(near)}
+    return out
+
+
+def test_exact_neighbours_against_all_pairs(spark):
+    rows = vectors(1, 400)
+    df = spark.createDataFrame(rows, COLUMNS)
+    asked = {i for i, _ in rows if i % 20 == 0}
+    found = exact_neighbours(df.filter("id % 20 = 0"), df, "id", "x", 5, 16)
+    assert {(r.query, r.key, r.similarity, r.place) for r in found.collect()} == brute(rows, asked, 5)
+
+
+def test_the_index_finds_nearly_all_and_only_true_similarities(spark):
+    rows = vectors(2, 600)
+    df = spark.createDataFrame(rows, COLUMNS)
+    asked = df.filter("id % 20 = 0")
+    found = indexed_neighbours(asked, df, "id", "x", 5, 16).cache()
+    exact = exact_neighbours(asked, df, "id", "x", 5, 16)
+    row = recall(found, exact).first()
+    assert row.queries == 31 and row.wanted == 155 and row.found >= 0.9 * row.wanted
+    assert found.groupBy("query").count().filter("count > 5").count() == 0
+
+
+def test_no_rows_or_no_queries(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0])], COLUMNS)
+    none = df.filter("id < 0")
+    for way in (exact_neighbours, indexed_neighbours):
+        assert way(none, df, "id", "x", 3, 2).count() == 0
+        assert way(df, none, "id", "x", 3, 2).count() == 0
+        assert way(df, df, "id", "x", 3, 2).count() == 0
+
+
+@pytest.fixture
+def plain_joins(spark):
+    kept = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+    yield
+    for k in kept:
+        spark.conf.unset(k)
+
+
+def test_a_key_with_half_of_the_rows_fills_no_task(spark, plain_joins):
+    rows = spark.range(40_000).select("id", F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 3000)).alias("k"))
+    other = rows.select("k").distinct().withColumn("name", F.concat(F.lit("n-"), "k"))
+    joined = join_skewed(rows, other, "k", ["id"])
+    sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+    assert sum(sizes) == 40_000 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    assert joined.filter("name <> 'n-' || k").count() == 0
+    plain = rows.join(other, "k").groupBy(F.spark_partition_id()).count()
+    assert max(r["count"] for r in plain.collect()) > 2 * sizes[len(sizes) // 2]
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_skewed_join_gives_the_rows_of_a_plain_one(spark, how):
+    rng = random.Random(3)
+    rows = [(i, rng.choice(["a", "a", "a", "b", "c", "d", None])) for i in range(500)] + [(1, "a"), (1, "a")]
+    left = spark.createDataFrame(rows, "id long, k string")
+    right = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("e", 4), (None, 5)], "k string, v long")
+    key = lambda df: sorted(map(str, df.select("id", "k", "v").collect()))
+    assert key(join_skewed(left, right, "k", ["id"], how)) == key(left.join(right, "k", how))
+    assert key(join_skewed(left.filter("false"), right, "k", ["id"], how)) == []
+    assert key(join_skewed(left, right.filter("false"), "k", ["id"], how)) == key(left.join(right.filter("false"), "k", how))
+
+
+def test_heavy_keys_are_few(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") % 4 == 0, -1).otherwise(F.col("id")).alias("k"))
+    found = {r.k: r._salts for r in heavy_keys(df, "k").collect()}
+    assert 64 <= found[-1] <= 72 and len(found) < 256
+
+
+def test_a_term_of_every_document_fills_no_task(spark, plain_joins):
+    from ledgerloom.operators.terms import term_counts, term_rarity, term_weights
+
+    docs = spark.range(6000).select("id", F.concat(F.lit("the "), F.concat(F.lit("w"), F.col("id") % 700)).alias("text"))
+    counts = term_counts(docs, "id", "text")
+    weights = term_weights(counts, term_rarity(counts, docs))
+    sizes = sorted(r["count"] for r in weights.groupBy(F.spark_partition_id()).count().collect())
+    assert sum(sizes) == 12_000 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    assert weights.filter("term = 'the'").agg(F.max(F.abs("weight"))).first()[0] == 0.0
+    assert term_weights(counts, term_rarity(counts, docs), deal=False).exceptAll(weights).count() == 0
