@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from ledgerloom.operators import evaluation, profile
 
@@ -111,3 +111,28 @@ def test_shuffled_batches(spark):
     assert sorted(r.batch for r in got).count(0) == 32 and max(r.batch for r in got) == 3
     assert {r.id: r.position for r in got} == {r.id: r.position for r in again}
     assert {r.id: r.position for r in got} != {r.id: r.position for r in other}
+
+
+def test_quantiles_of_many_rows_with_ties_and_nan(spark):
+    """Enough rows for brackets; most lie outside of them."""
+    rng = np.random.default_rng(4)
+    cells = {"smooth": rng.normal(size=60_000), "ties": rng.integers(0, 5, 60_000).astype(float), "one": np.full(60_000, 3.0)}
+    cells["wild"] = np.where(rng.random(60_000) < 0.3, -np.inf, rng.exponential(size=60_000) * 10.0 ** rng.integers(-300, 300, 60_000))
+    df = spark.createDataFrame([tuple(map(float, r)) for r in zip(*cells.values())], ", ".join(f"{c} double" for c in cells))
+    points = [0.0, 0.001, 0.25, 0.5, 0.75, 0.9999, 1.0]
+    got = {(r.column_name, r.point): r.value for r in profile.quantiles(df, list(cells), points).collect()}
+    for c, values in cells.items():
+        for p in points:
+            rank = p * (len(values) - 1)
+            low, high = np.sort(values)[[int(np.floor(rank)), int(np.ceil(rank))]].tolist()
+            want = low if low == high else low + (high - low) * (rank % 1)
+            assert got[c, p] == want or abs(got[c, p] - want) <= 1e-12 * abs(want), (c, p)
+    with_nan = df.selectExpr("IF(smooth > 1, double('NaN'), smooth) AS x")
+    top = {r.point: r.value for r in profile.quantiles(with_nan, ["x"], [0.5, 0.95]).collect()}
+    assert top[0.5] == float(np.quantile(cells["smooth"], 0.5)) and top[0.95] != top[0.95]
+    # a bracket that misses its rank is opened
+    off = [r.asDict(True) for r in profile._measured(df, ["smooth"], [0.5]).collect()]
+    off[0]["brackets"] = [Row(point=0.5, low=2.0, high=3.0)]
+    assert profile._placed(df, [Row(**off[0])]).first().value == float(np.quantile(cells["smooth"], 0.5))
+    inside = profile._measured(df, ["smooth"], [0.5]).selectExpr("inline(brackets)").first()
+    assert ((cells["smooth"] >= inside.low) & (cells["smooth"] <= inside.high)).sum() < 600
