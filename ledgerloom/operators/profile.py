@@ -95,9 +95,10 @@ def _in_brackets(df: DataFrame, columns: Sequence[str], asked: DataFrame) -> Dat
     counts = (
         inside.withColumn("x", F.when(F.col("x") >= F.col("low"), F.col("x")))
         .groupBy("column_name", "point", "n_values", "x").agg(F.count("*").alias("n"))
-        .withColumn("step", F.when(F.col("x").isNotNull(), value_step(F.col("x"))))
+        # what lies below has a step of its own, under all others; a null would be filtered from one of the two uses and cost a scan
+        .withColumn("step", F.coalesce(F.when(F.col("x").isNotNull(), value_step(F.col("x"))), F.lit(-(1 << 62))))
     )
-    by_step = Window.partitionBy("column_name", "point").orderBy(F.col("step").asc_nulls_first())
+    by_step = Window.partitionBy("column_name", "point").orderBy("step")
     both_ends = F.explode(F.array(F.floor("rank"), F.ceil("rank")))
     wanted = (
         counts.groupBy("column_name", "point", "n_values", "step")
@@ -107,7 +108,6 @@ def _in_brackets(df: DataFrame, columns: Sequence[str], asked: DataFrame) -> Dat
         .withColumn("place", both_ends)
         .withColumn("before", F.col("upto") - F.col("n"))
         .filter((F.col("place") >= F.col("before")) & (F.col("place") < F.col("upto")))
-        .filter("step IS NOT NULL")  # what lies below is no value
         .select("column_name", "step", "point", "rank", "place", "before")
         .distinct()
     )
@@ -120,6 +120,7 @@ def _in_brackets(df: DataFrame, columns: Sequence[str], asked: DataFrame) -> Dat
         .filter(F.col("upto") > F.col("place"))
         .groupBy("column_name", "point", "rank", "place")
         .agg(F.min("x").alias("x"))
+        .filter("x IS NOT NULL")  # a place below the bracket has no value
     )
     part = F.col("rank") - F.floor("rank")
     ends = found.groupBy("column_name", "point", "rank").agg(F.min("x").alias("low"), F.max("x").alias("high"), F.count("*").alias("places"))

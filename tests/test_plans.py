@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from ledgerloom.operators import profile
 from ledgerloom.plans import registry
 
 FOLDER = "/root/testdata/sf0.001"
@@ -14,6 +15,10 @@ WITH_PYTHON = {
 }
 #: Joins of a few years with a few spans, or of one asked range with its answer.
 KNOWN_SMALL = {"heading_check", "filtered_text_search"}
+#: Blocks of a stated set of queries meet blocks of all rows; no pair of rows is a row of the join.
+IN_BLOCKS = {"similar_vectors", "similarity_index_recall"}
+#: Its scans run before it returns a few rows; test_profiles_scan_twice looks at them.
+RUN_BEFORE = {"describe_numeric"}
 FITTED = {"one_hot_features", "train_eval_classifier"}
 #: Columns of the wide tables; a scan that reads all of them is not pruned.
 WIDE = {"l_": 11, "o_": 6, "p_": 6, "c_": 5, "n_chars": 2}
@@ -41,12 +46,12 @@ def large(spark):
 def test_python_only_where_needed(spark, plan, name, any_size):
     text = plan(registry.QUERIES[name](spark, FOLDER))
     python = bool(re.search(r"MapInPandas|MapInArrow|ArrowEvalPython|BatchEvalPython", text))
-    assert python == (name in WITH_PYTHON)
-    if name not in KNOWN_SMALL:
+    assert python == (name in WITH_PYTHON | IN_BLOCKS)
+    if name not in KNOWN_SMALL | IN_BLOCKS:
         assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - FITTED - {"columns_numbered"}))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - FITTED - RUN_BEFORE - {"columns_numbered"}))
 def test_scans_are_pruned(spark, plan, name):
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan(registry.QUERIES[name](spark, FOLDER)))
     assert schemas
@@ -66,11 +71,24 @@ def test_lines_meet_filtered_orders_before_parts(spark, plan, name, large):
     assert joins.index("part_key") < joins.index("order_key")
 
 
-@pytest.mark.parametrize("name, scans", [("stack_years", 3), ("key_set_difference", 1), ("describe_numeric", 3)])
+@pytest.mark.parametrize("name, scans", [("stack_years", 3), ("key_set_difference", 1)])
 def test_number_of_scans(spark, plan, name, scans):
     assert plan(registry.QUERIES[name](spark, FOLDER)).count("ReadSchema") <= scans
 
 
+def test_profiles_scan_twice(spark, plan, monkeypatch):
+    """Each of the two steps of describe_numeric reads its table once, and only the columns described."""
+    seen = []
+    for step in ("_measured", "_in_brackets"):
+        made = getattr(profile, step)
+        monkeypatch.setattr(profile, step, lambda *a, made=made: seen.append(made(*a)) or seen[-1])
+    assert registry.QUERIES["describe_numeric"](spark, FOLDER).count() > 0
+    assert len(seen) == 2
+    for df in seen:
+        schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan(df).split("Initial Plan")[0])  # it has run, so both are shown
+        assert len(schemas) == 1 and len(re.findall(r"(?:^|,)l_", schemas[0])) < WIDE["l_"]
+
+
 @pytest.mark.parametrize(
     "name, pushed",
     [
