@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.dates import in_year, month_day_as_date, month_day_name, month_day_number
+from ..functions.dates import (
+    days_in_month, in_year, month_day_as_date, month_day_name, month_day_number, month_day_of_page, page_name,
+)
 from ..functions.text import (
     MAX_LINKS, blank_own_date, entry_body, filled_links, link_slots as slots, signed_year, strip_citations, url_tag,
 )
@@ -72,6 +74,17 @@ def valid_month_days(spark, folder):
     return report(days.unionByName(others).select("day_of_year", "month_day", F.coalesce("n", F.lit(0)).alias("events")))
 
 
+def calendar_pages(spark, folder):
+    """Events per month-day, with the name of its page, the name read back from that, and the days of its month."""
+    counted = given(spark, folder, "events").groupBy(month_day_name(F.col("ts")).alias("month_day")).agg(F.count("*").alias("events"))
+    month = F.split_part(F.col("month_day"), F.lit(" "), F.lit(1))
+    return report(
+        counted.withColumn("page", page_name(F.col("month_day"))).select(
+            "month_day", "page", month_day_of_page(F.col("page")).alias("day_of_page"), days_in_month(month).alias("days_in_month"), "events"
+        )
+    )
+
+
 def entry_table(spark, folder) -> DataFrame:
     return entries(page_items(given(spark, folder, "pages")))
 
@@ -115,6 +128,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         valid_month_days, month_day_year_search, page_entries, entry_counts, entry_links, link_slots, signed_years,
+        calendar_pages,
     )
 }
 
@@ -151,6 +165,10 @@ WHERE month_day IS NULL OR month_day NOT IN (SELECT strftime(d, '%B %-d') FROM d
 FROM events WHERE event_type = '{EVENT_TYPE}' AND YEAR(ts) BETWEEN {FIRST_YEAR} AND {LAST_YEAR}
 AND strftime(ts, '%m%d') BETWEEN strftime(strptime('2000 {FIRST_DAY}', '%Y %B %d'), '%m%d')
                              AND strftime(strptime('2000 {LAST_DAY}', '%Y %B %d'), '%m%d')""",
+    "calendar_pages": """
+WITH named AS (SELECT strftime(ts, '%B %-d') AS month_day, DAY(LAST_DAY(MAKE_DATE(2001, MONTH(ts), 1))) AS days FROM events)
+SELECT month_day, replace(month_day, ' ', '_') AS page, month_day AS day_of_page, days AS days_in_month, COUNT(*) AS events
+FROM named GROUP BY month_day, days""",
     "page_entries": f"""WITH {ITEMS_SQL}
 SELECT page_id, CAST(0 AS BIGINT) AS list_no, item_no, 'event' AS event_type, text, CAST(linked AS BIGINT) AS n_links FROM items""",
     "entry_counts": f"""WITH {ITEMS_SQL}

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import in_year
-from ..functions.text import metric_key, split_metric_key
+from ..functions.text import county_name, metric_key, split_metric_key
 from ..operators.reshape import (
     balanced_panel as keep_complete,
     columns_numbered as number_columns,
@@ -18,12 +18,15 @@ from ..operators.reshape import (
     key_set_difference as difference,
     long_to_wide as widen,
     map_headings,
+    stack,
     wide_to_long as melt,
 )
 from .common import given, report
 
 # Parameters of the registered queries.
 NATIONS = [f"NATION_{i}" for i in range(25)]  # of the given tables; SQL has to spell its columns out
+# Columns of a wide table are names in the plan; more of them are refused.
+MOST_COLUMNS = 10_000
 SECOND_VINTAGE = 1998
 THIRD_VINTAGE = 2000
 HEADINGS = [
@@ -71,9 +74,12 @@ def county_metrics(spark, folder) -> DataFrame:
 
 
 def counties(spark, folder) -> list[str]:
-    """Names of all nations: they become columns, so the driver has to know them."""
-    names = given(spark, folder, "nation").select("n_name").dropna().distinct().orderBy("n_name")
-    return [r.n_name for r in names.collect()]
+    """Names of all nations: they become columns, so the driver has to know them; more than MOST_COLUMNS are an error."""
+    names = given(spark, folder, "nation").select("n_name").dropna().distinct().orderBy("n_name").limit(MOST_COLUMNS + 1)
+    found = [r.n_name for r in names.collect()]
+    if len(found) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} counties cannot be columns; keep the long form")
+    return found
 
 
 def _matrix(spark, folder, names: list[str]) -> DataFrame:
@@ -98,6 +104,27 @@ def stack_years(spark, folder):
     return report(county_years(spark, folder).select("county", "year", "orders", late.alias("revenue")))
 
 
+def stack_accounts(spark, folder):
+    """Customers and suppliers under each other, columns matched by name; suppliers have no segment."""
+    customers = given(spark, folder, "customer").select(
+        F.lit("customer").alias("kind"), F.col("c_custkey").alias("key"), F.col("c_name").alias("name"),
+        F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment"),
+    )
+    suppliers = given(spark, folder, "supplier").select(
+        F.lit("supplier").alias("kind"), F.col("s_acctbal").alias("balance"), F.col("s_nationkey").alias("nation"),
+        F.col("s_name").alias("name"), F.col("s_suppkey").alias("key"),
+    )
+    return report(stack([customers, suppliers]))
+
+
+def area_names(spark, folder):
+    """Customers per area, the area named in full and by its county alone."""
+    per_nation = given(spark, folder, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count("*").alias("customers"))
+    nations = given(spark, folder, "nation").join(given(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    area = F.concat("n_name", F.lit(" County, "), "r_name")
+    return report(per_nation.join(nations, "n_nationkey").select(area.alias("area"), county_name(area).alias("county"), "customers"))
+
+
 def _spelled(spark, folder) -> DataFrame:
     """Long table whose headings are spelled differently over the years, with comment headings the mapping does not know."""
     year, metric = F.col("year"), F.col("metric")
@@ -154,7 +181,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         long_to_wide, wide_to_long, stack_years, header_mapping, balanced_panel, key_set_difference,
-        columns_numbered, panel_counts, heading_check,
+        columns_numbered, panel_counts, heading_check, stack_accounts, area_names,
     )
 }
 
@@ -189,6 +216,13 @@ SELECT n_name AS county, k.year, k.metric, l.value
 FROM keys k CROSS JOIN nation LEFT JOIN long l ON l.county = n_name AND l.year = k.year AND l.metric = k.metric""",
     "stack_years": f"""WITH {YEARS_SQL}
 SELECT county, year, orders, CASE WHEN year >= {SECOND_VINTAGE} THEN CAST(revenue AS DOUBLE) END AS revenue FROM years""",
+    "stack_accounts": """
+SELECT 'customer' AS kind, c_custkey AS key, c_name AS name, c_nationkey AS nation, c_acctbal AS balance, c_mktsegment AS segment FROM customer
+UNION ALL
+SELECT 'supplier', s_suppkey, s_name, s_nationkey, s_acctbal, NULL FROM supplier""",
+    "area_names": """
+SELECT n_name || ' County, ' || r_name AS area, n_name AS county, COUNT(*) AS customers
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY n_name, r_name, n_nationkey""",
     "header_mapping": f"WITH {YEARS_SQL} SELECT county, year, metric, value FROM long",
     "balanced_panel": f"""WITH {CUSTOMER_YEARS_SQL}
 SELECT customer, year, orders, CAST(revenue AS DOUBLE) AS revenue FROM pairs

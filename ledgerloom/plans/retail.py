@@ -18,6 +18,7 @@ from ..functions.dates import month_start
 from ..operators.filters import suffix_or_equal, with_threshold
 from ..operators.ranking import share_of_total, top_k
 from ..operators.running import running_summary, running_total
+from ..sources.tables import register
 from .common import given, report
 
 MONEY = "decimal(18,2)"
@@ -39,6 +40,8 @@ RETURNED_ITEMS = ["blue ring", "hot bolt", "large plate"]
 PEAK = 400_000
 COUNTRY_PEAKS = {"NATION_3": 500_000, "NATION_7": 400_000, "NATION_12": 300_000, "NATION_20": 450_000}
 
+SQL_YEARS = (1995, 2001)
+
 ORDER_COLUMNS = {"InvoiceDate", "CustomerID", "Country"}
 PART_COLUMNS = {"Description", "UnitPrice"}
 Filters = Mapping[str, Column]
@@ -322,6 +325,26 @@ def monthly_cumulative_by_country_threshold(spark, folder):
     return report(result.drop("threshold").orderBy("Country", "year", "month", "item"))
 
 
+PEAKS_TEXT = """
+WITH peaked AS (
+  SELECT *, MAX(running_max) OVER (PARTITION BY Country, Description) AS peak
+  FROM running_days WHERE Description IS NOT NULL),
+monthly AS (
+  SELECT Country, Description AS item, YEAR(_day) AS year, MONTH(_day) AS month,
+         try_divide(CAST(SUM(running_sum) AS DOUBLE), SUM(n_valued)) AS monthly_cumulative_rev
+  FROM peaked WHERE peak > :peaks[Country] AND year(_day) BETWEEN :first_year AND :last_year
+  GROUP BY Country, Description, YEAR(_day), MONTH(_day))
+SELECT *, make_date(year, month, 1) AS date FROM monthly ORDER BY Country, year, month, item"""
+
+
+def monthly_cumulative_sql(spark, folder):
+    """The threshold report as SQL text over a view; thresholds and years are typed parameters, not parts of the text."""
+    lines = _revenue_lines(spark, folder, {"nation": F.col("n_name").isin(list(COUNTRY_PEAKS))}, ["Country"])
+    register(running_summary(_with_levels(lines), ["Country", "Description"], LINE_ORDER, "revenue", LEVELS), "running_days")
+    peaks = F.create_map(*[F.lit(x) for pair in COUNTRY_PEAKS.items() for x in pair])
+    return report(spark.sql(PEAKS_TEXT, args={"peaks": peaks, "first_year": SQL_YEARS[0], "last_year": SQL_YEARS[1]}))
+
+
 def monthly_cumulative_named_items(spark, folder):
     named = suffix_or_equal(F.col("p_name"), SUFFIX, NAMED_ITEM)
     filters = {"nation": F.col("n_name").isin(list(COUNTRY_PEAKS)), "part": named}
@@ -373,7 +396,7 @@ QUERIES = {
         revenue_by_item_in_country, date_extent, item_lookup, customer_history, sample_rows,
         top_lines_by_revenue, top_customers, top_customer_basket, running_item_revenue,
         monthly_cumulative_top_items, monthly_cumulative_by_country_threshold,
-        monthly_cumulative_named_items, returns_by_count, returns_by_value, running_returns,
+        monthly_cumulative_sql, monthly_cumulative_named_items, returns_by_count, returns_by_value, running_returns,
     )
 }
 
@@ -482,6 +505,9 @@ FROM priced p""",
         f"Country IN ({_NAMES_SQL})",
         f"MAX(cumulative_rev) > CASE Country {_PEAK_SQL} END",
     ),
+    "monthly_cumulative_sql": "SELECT * FROM ("
+    + _monthly_sql("Country, Description", f"Country IN ({_NAMES_SQL})", f"MAX(cumulative_rev) > CASE Country {_PEAK_SQL} END")
+    + f") WHERE year BETWEEN {SQL_YEARS[0]} AND {SQL_YEARS[1]}",
     "monthly_cumulative_named_items": _monthly_sql(
         "Country, Description",
         f"Country IN ({_NAMES_SQL})",

@@ -15,6 +15,7 @@ from .retail import MONEY
 
 # Parameters of the registered queries: the query vector and the shape of the network.
 QUERY_ID = 0
+GRID = (-0.25, 0.25, 9)  # first point, last point, number of points; all are exact
 INPUTS, HIDDEN, CLASSES = 64, 16, 10
 DIGITS = 6
 #: Every row whose number is divisible by this is a query against all rows; so many neighbours each; least share that the index finds.
@@ -163,11 +164,19 @@ def top5_classes(spark, folder):
     return report(out.select("vec_id", "place", "class_name", *rounded("score")))
 
 
+def grid_counts(spark, folder):
+    """How many first components lie at or below each point of an even grid."""
+    firsts = given(spark, folder, "embeddings").select(F.get("embedding", F.lit(0)).cast("double").alias("x"))
+    points = firsts.select("x", F.posexplode(A.grid(*GRID)).alias("place", "point"))
+    return report(points.groupBy("place", "point").agg(F.count_if(F.col("x") <= F.col("point")).alias("n")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         cosine_scores, most_similar, similar_vectors, similarity_index_recall, dense_forward, activations, vector_sums, softmax_scores,
         cross_entropy, classification_accuracy, regression_error, top5_classes,
+        grid_counts,
     )
 }
 
@@ -211,6 +220,9 @@ _ONE_HOT_LOSS = (
 )
 
 ORACLES = {
+    "grid_counts": f"""SELECT p AS place, {GRID[0]} + p * {(GRID[1] - GRID[0]) / (GRID[2] - 1)}::DOUBLE AS point,
+       COUNT(*) FILTER (WHERE CAST(embedding[1] AS DOUBLE) <= {GRID[0]} + p * {(GRID[1] - GRID[0]) / (GRID[2] - 1)}::DOUBLE) AS n
+FROM embeddings, range({GRID[2]}) t(p) GROUP BY p""",
     "cosine_scores": f"WITH {COSINE_SQL} SELECT vec_id, {_r('similarity')} AS similarity FROM scored",
     "most_similar": f"""WITH {COSINE_SQL} SELECT vec_id, CAST(label AS BIGINT) AS label, {_r('similarity')} AS similarity
 FROM scored WHERE vec_id <> {QUERY_ID} ORDER BY scored.similarity DESC, vec_id LIMIT 1""",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import county_name
@@ -19,6 +19,10 @@ PASSENGER_SCHEMA = (
     "class string, deck string, embark_town string, alone string"
 )
 LABEL_ROW = "Geographic Area Name"
+# Widest survey file that is read without asking for more; a wider one is an error, not cut.
+SURVEY_WIDTH = 1024
+# The year in a file name such as ``ACSST1Y2015.S1901-Data.csv``.
+YEAR_IN_NAME = r"Y(\d{4})\b[^/]*$"
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, **options: str) -> DataFrame:
@@ -77,6 +81,62 @@ def read_survey(spark: SparkSession, paths: Mapping[int, str]) -> DataFrame:
     return stack([read_survey_year(spark, path, year) for year, path in paths.items()])
 
 
+def read_survey_metadata(spark: SparkSession, paths: str | Sequence[str], year_pattern: str = YEAR_IN_NAME) -> DataFrame:
+    """Column dictionaries, one file per survey file, as (year, code, label); all files are one scan."""
+    rows = spark.read.schema("code string, label string").option("header", True).csv(paths)
+    year = F.regexp_extract(F.col("_metadata.file_path"), year_pattern, 1).try_cast("int")
+    return rows.select(year.alias("year"), "code", "label").filter("label IS NOT NULL")
+
+
+def read_survey_files(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    metadata: DataFrame | None = None,
+    width: int = SURVEY_WIDTH,
+    year_pattern: str = YEAR_IN_NAME,
+) -> DataFrame:
+    """Survey files of any number of years and headings (paths or globs) as in :func:`read_survey_year`.
+
+    All files are one scan and no file is opened by the driver.  A cell finds the code and the label of
+    its column among the cells of the same file and place, so a task holds one column of one file.
+    The year stands in the file's name.  Labels come from ``metadata`` (year, code, label) where it has
+    them, else from the file's second line.  Empty cells have no row.  The area name is the second
+    column, as in all files of the survey; a file with another one there is an error, as is a wider one than ``width``.
+    """
+    cells = [f"c{i}" for i in range(width + 1)]
+    lines = spark.read.schema(StructType([StructField(c, StringType()) for c in cells])).csv(paths)
+    wide = F.when(F.col(cells[-1]).isNotNull(), F.raise_error(F.lit(f"a survey file has more than {width} columns")).cast("string"))
+    first = F.ltrim(F.col("c0"), F.lit("\ufeff"))
+    is_code = F.trim(first, F.lit('"')) == "GEO_ID"
+    other = F.when(is_code & ~F.col("c1").eqNullSafe(F.lit("NAME")), F.raise_error(F.lit("the second column is not NAME")).cast("string"))
+    long = lines.select(
+        F.coalesce(wide, other, F.col("_metadata.file_path")).alias("file"),
+        F.coalesce(is_code, F.lit(False)).alias("is_code"),
+        F.col("c1").alias("area"),
+        F.posexplode(F.array(*cells[2:-1])).alias("place", "raw"),
+    ).filter("raw IS NOT NULL")
+    column = Window.partitionBy("file", "place")
+    is_label = ~F.col("is_code") & (F.col("area") == LABEL_ROW)
+    headed = (
+        long.withColumn("code", F.max(F.when(F.col("is_code"), F.col("raw"))).over(column))
+        .withColumn("label", F.max(F.when(is_label, F.col("raw"))).over(column))
+        .filter(~F.col("is_code") & ~F.col("area").eqNullSafe(F.lit(LABEL_ROW)) & F.col("code").isNotNull())
+        .withColumn("year", F.regexp_extract("file", year_pattern, 1).try_cast("int"))
+    )
+    if metadata is not None:
+        known = metadata.select("year", "code", F.col("label").alias("_known"))
+        headed = headed.join(known, ["year", "code"], "left").withColumn("label", F.coalesce("_known", "label"))
+    return headed.select(
+        "area",
+        county_name(F.col("area")).alias("county"),
+        "year",
+        "code",
+        "label",
+        "raw",
+        F.col("raw").try_cast("decimal(18,4)").alias("value"),
+    )
+
+
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
     """CSV with a header line in each file, written in parallel."""
     df.write.mode(mode).partitionBy(*partition_by).option("header", True).csv(path)

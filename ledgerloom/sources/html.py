@@ -24,6 +24,8 @@ ENTRY_SCHEMA = (
 LISTS_PER_PAGE = 9
 FIRST_BIRTH_LIST = 3
 FIRST_DEATH_LIST = 6
+# Items are handed on as soon as their texts and links hold this many characters.
+OUTPUT_CHARS = 4 << 20
 
 # What is never shown is one token, list and link tags are the others; all else is left to the text in between.
 _TOKEN = re.compile(
@@ -112,18 +114,27 @@ def list_items(html: str, base: str | None = None) -> list[tuple[int, int, str,
     return found
 
 
+def item_batches(pages: pd.DataFrame, chars: int = OUTPUT_CHARS) -> Iterator[pd.DataFrame]:
+    """The items of some pages in page order; no batch goes over ``chars`` by more than its last item."""
+    names = ["page_id", "url", "list_no", "item_no", "raw_text", "anchors"]
+    rows, held = [], 0
+    for page_id, url, html in zip(pages["page_id"], pages["url"], pages["html"]):
+        for list_no, item_no, text, links in list_items(html, url):
+            rows.append((page_id, url, list_no, item_no, text, links))
+            held += len(url or "") + len(text) + sum(len(link["text"]) + len(link["url"]) for link in links)
+            if held >= chars:
+                yield pd.DataFrame(rows, columns=names)
+                rows, held = [], 0
+    if rows:
+        yield pd.DataFrame(rows, columns=names)
+
+
 def page_items(pages: DataFrame) -> DataFrame:
     """Raw list items of ``pages(page_id, url, html)``."""
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["page_id", "url", "list_no", "item_no", "raw_text", "anchors"]
         for batch in batches:
-            rows = [
-                (page_id, url, *item)
-                for page_id, url, html in zip(batch["page_id"], batch["url"], batch["html"])
-                for item in list_items(html, url)
-            ]
-            yield pd.DataFrame(rows, columns=names)
+            yield from item_batches(batch)
 
     return pages.select("page_id", "url", "html").mapInPandas(parse, ENTRY_SCHEMA)
 

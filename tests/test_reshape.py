@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import filters, params, ranking, reshape
+from ledgerloom.plans import panel
 
 
 @pytest.fixture(scope="module")
@@ -118,3 +119,9 @@ def test_heading_faults(spark):
     assert faults == [(2002, "m", 0), (2003, "n", 0)]
     mapped = sorted(tuple(r) for r in reshape.map_headings(long, mapping).select("year", "metric").collect())
     assert (2003, "n") not in mapped and (2002, "m") not in mapped and len(mapped) == 6
+
+
+def test_too_many_columns_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(panel, "MOST_COLUMNS", 24)
+    with pytest.raises(ValueError, match="more than 24"):
+        panel.counties(spark, "/root/testdata/sf0.001")

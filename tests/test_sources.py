@@ -6,6 +6,7 @@ import sys
 from decimal import Decimal
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +78,44 @@ def test_survey(spark, tmp_path):
     assert raw == {"N", "(X)", "**", "250,000+", "-"}
 
 
+def test_survey_files_in_one_scan(spark, tmp_path, plan):
+    """Seven files of different headings and widths; the same cells as file by file."""
+    by_year = {}
+    for n, year in enumerate(range(2015, 2022)):
+        labels = [f"Estimate!!{'Old' if year < 2018 else 'New'}!!Column {i}" for i in range(3 + n)]
+        rows = [
+            [f"g{year}", "Anderson County, Tennessee", *[str(year + i) for i in range(3 + n)]],
+            [f"g{year}", "Van Buren County, Tennessee", "(X)", "**", "250,000+", *["N"] * n],
+        ]
+        by_year[year] = str(tmp_path / f"ACSST1Y{year}.S1901-Data.csv")
+        survey_file(tmp_path / f"ACSST1Y{year}.S1901-Data.csv", labels, rows, bom=year == 2020)
+    found = delimited.read_survey_files(spark, f"{tmp_path}/*-Data.csv", width=40)
+    assert plan(found).count("FileScan") == 1
+    want = delimited.read_survey(spark, by_year)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, want.select(*found.columns).collect()), key=str)
+
+    for year in by_year:
+        text = '"Column Name","Label"\n"GEO_ID","Geography"\n"S1901_C00","Named by the dictionary"\n'
+        (tmp_path / f"ACSST1Y{year}.S1901-Column-Metadata.csv").write_text(text)
+    names = delimited.read_survey_metadata(spark, f"{tmp_path}/*-Metadata.csv")
+    assert names.count() == 14 and {r.year for r in names.collect()} == set(by_year)
+    named = delimited.read_survey_files(spark, f"{tmp_path}/*-Data.csv", names, width=40)
+    got = {(r.year, r.code, r.label) for r in named.filter("code IN ('S1901_C00', 'S1901_C01')").collect()}
+    assert got == {(y, "S1901_C00", "Named by the dictionary") for y in by_year} | {
+        (y, "S1901_C01", f"Estimate!!{'Old' if y < 2018 else 'New'}!!Column 1") for y in by_year
+    }
+
+
+def test_survey_files_of_another_shape_are_errors(spark, tmp_path):
+    (tmp_path / "Y2015.csv").write_text("GEO_ID,NAME,a,b\nGeography,Geographic Area Name,x,y\ng,A County,1,2\n")
+    assert delimited.read_survey_files(spark, str(tmp_path / "Y2015.csv"), width=4).count() == 2
+    with pytest.raises(Exception, match="more than 3 columns"):
+        delimited.read_survey_files(spark, str(tmp_path / "Y2015.csv"), width=3).collect()
+    (tmp_path / "Y2016.csv").write_text("GEO_ID,a,NAME\nGeography,x,Geographic Area Name\ng,1,A County\n")
+    with pytest.raises(Exception, match="not NAME"):
+        delimited.read_survey_files(spark, str(tmp_path / "Y2016.csv")).collect()
+
+
 def test_poverty_headings():
     headings = survey_labels.POVERTY_HEADINGS
     assert len(headings) == 36 and len({(h[0], h[2]) for h in headings}) == 36
@@ -156,6 +195,24 @@ def test_list_items():
     assert html.list_items("", None) == [] and html.list_items(None, None) == []
 
 
+def test_items_are_handed_on_by_size():
+    """Many large pages in one batch: no output batch above the stated size by more than one item."""
+    page = "<ul>" + "".join(f"<li>{'x' * 500} {i}</li>" for i in range(40)) + "</ul>"
+    pages = pd.DataFrame({"page_id": range(30), "url": ["u"] * 30, "html": [page] * 29 + [None]})
+    parts = list(html.item_batches(pages, chars=5000))
+    assert len(parts) > 100 and all(p.raw_text.str.len().sum() <= 5000 + 600 for p in parts)
+    found = pd.concat(parts)
+    assert list(zip(found.page_id, found.item_no)) == [(n, i) for n in range(29) for i in range(40)]
+    assert len(list(html.item_batches(pages))) == 1 and not list(html.item_batches(pages[29:]))
+
+
+def test_entry_counts_of_nine_lists(spark):
+    page = "".join(f"<ul>{'<li>1 – x</li>' * (i + 1)}</ul>" for i in range(11))
+    pages = spark.createDataFrame([(1, "https://site.example/wiki/May_1", page)], "page_id long, url string, html string")
+    counts = html.entries(html.page_items(pages)).groupBy("event_type").count().collect()
+    assert {r.event_type: r["count"] for r in counts} == {"event": 6, "birth": 15, "death": 24}
+
+
 def test_entries_by_list_number(spark):
     page = "".join(f"<ul><li>{i} – text {i}</li></ul>" for i in range(11))
     pages = spark.createDataFrame([(1, "https://site.example/wiki/May_1", page), (2, "u", PAGE), (3, "u", None)], "page_id long, url string, html string")
