@@ -24,6 +24,8 @@ BUCKET_BITS = 18
 SIZES = (3, 4, 5)
 DIMENSIONS = 8
 WINDOW = 8
+#: From this score on a text is taken as toxic.
+THRESHOLD = 0.3
 #: Bounds of the sample that one task trains on: labelled rows of each class, chosen by a hash, and characters of all their texts.
 TOXIC_ROWS, CLEAN_ROWS = 800, 1200
 SAMPLE_BYTES = 64 << 20
@@ -230,8 +232,14 @@ def toxicity_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(score, f"`{id_col}` long, score double")
 
 
+def toxicity_model(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """The model of the labelled rows whose crc32 of the id modulo ``folds`` is not ``held_out``."""
+    learn = labels.filter(id_bucket(F.col("doc_id"), folds) != held_out)
+    return fitted(sample(docs, learn, id_col, text_col))
+
+
 def toxicity(
-    docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds: int = 4, held_out: int = 2, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, folds: int = 4, held_out: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per input row: id, held_out, score, predicted.
 
@@ -240,8 +248,7 @@ def toxicity(
     before it counts once.  Null, empty and wordless texts score 0; texts of any length are read whole.  Rows that
     repeat are scored alike, rows with a null id are scored too.  Other columns are not read.  An empty table gives no rows.
     """
-    learn = labels.filter(id_bucket(F.col("doc_id"), folds) != held_out)
-    model = fitted(sample(docs, learn, id_col, text_col))
+    model = toxicity_model(docs, labels, folds, held_out, id_col, text_col)
     scored = toxicity_scores(docs, model, id_col, text_col)
     return scored.select(
         id_col, (id_bucket(F.col(id_col), folds) == held_out).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")

@@ -1,6 +1,7 @@
 """Each stage of the pipeline against a plain version, on the given documents and on odd ones."""
 
 import re
+from collections import Counter
 
 import pytest
 
@@ -8,7 +9,7 @@ import corpus_pipeline
 from ledgerloom.llm.mixing import TOKEN
 from ledgerloom.llm.queries import MIX
 from ledgerloom.llm.storage import table
-from ledgerloom.llm.toxicity import toxicity
+from ledgerloom.llm.toxicity import THRESHOLD, toxicity_model, toxicity_scores
 
 from .tables import frame, jaccard_brute, odd_rows
 from .test_decontaminate import brute as contaminated_brute
@@ -42,27 +43,52 @@ def test_stages_against_plain_versions(spark, which):
     clean, single, untouched, mix, shards = stages(spark, docs)
     assert all(sorted(x.columns) == sorted(names) for x in (clean, single, untouched, mix))
 
-    rejected = {r.doc_id for r in toxicity(docs, table(spark, FOLDER, "labels")).collect() if r.predicted}
-    assert sorted(rows_of(clean), key=str) == sorted((r for r in start if r[0] not in rejected), key=str)
+    # plain versions name a row by its place in the list
+    texts = spark.createDataFrame([(n, r[1]) for n, r in enumerate(start)], "n long, text string")
+    scores = toxicity_scores(texts, toxicity_model(docs, table(spark, FOLDER, "labels")), "n").collect()
+    rejected = {r.n for r in scores if r.score >= THRESHOLD}
+    assert sorted(rows_of(clean), key=str) == sorted((r for n, r in enumerate(start) if n not in rejected), key=str)
 
-    groups = jaccard_brute(rows_of(clean), 5, 80)
-    gone = {i for i, _, component in groups if component != i}
-    assert sorted(rows_of(single), key=str) == sorted((r for r in rows_of(clean) if r[0] not in gone), key=str)
-    assert gone or which == "given"
+    before = sorted(rows_of(clean), key=lambda r: (r[0] is None, r[0] or 0))
+    groups = jaccard_brute([(n, *r[1:]) for n, r in enumerate(before)], 5, 80)
+    kept = Counter((before[n][0], before[n][1]) for n, _, component in groups if component == n)
+    assert Counter((r[0], r[1]) for r in rows_of(single)) == kept
+    assert not Counter(rows_of(single)) - Counter(before)
+    assert len(before) > len(rows_of(single)) or which == "given"
 
     benchmark = [(r.item_id, r.text) for r in table(spark, FOLDER, "benchmark").collect()]
-    found = {i for i, _ in contaminated_brute(rows_of(single), benchmark)}
+    before = rows_of(single)
+    found = {n for n, _ in contaminated_brute([(n, *r[1:]) for n, r in enumerate(before)], benchmark)}
     assert found
-    assert sorted(rows_of(untouched), key=str) == sorted((r for r in rows_of(single) if r[0] not in found), key=str)
+    assert sorted(rows_of(untouched), key=str) == sorted((r for n, r in enumerate(before) if n not in found), key=str)
 
-    taken = {(i, e) for i, *_, e, _, _ in mixed_brute(rows_of(untouched), MIX) if i is not None}
-    want = [r for r in rows_of(untouched) for _ in range(sum(i == r[0] for i, _ in taken))]
-    assert sorted(rows_of(mix), key=str) == sorted(want, key=str)
+    assert Counter(r[0] for r in rows_of(mix)) == Counter(i for i, *_ in mixed_brute(rows_of(untouched), MIX))
+    assert set(rows_of(mix)) <= set(rows_of(untouched))
 
     sizes = checked(rows_of(mix), shards.collect(), 8)
     assert sum(sizes) == sum(len((r[1] or "").encode()) + 1 for r in rows_of(mix))
 
 
+def test_rows_that_repeat_ids(spark):
+    """Every id stands for several rows: decisions are about rows."""
+    passage = table(spark, FOLDER, "benchmark").first().text
+    a, b, c = ("one two three four five six seven eight " + " ".join(f"{x}{i}" for i in range(20)) for x in "abc")
+    rows = [(1, a, "en", "src0"), (1, a, "en", "src0"), (1, b, "en", "src1"), (2, b, "de", "src1"), (2, f"x {passage} y", "en", "src0"), (2, c, "en", "src0")]
+    docs = frame(spark, rows)
+    single = rows_of(corpus_pipeline.drop_near_copies(spark, docs, FOLDER))
+    assert sorted(single) == sorted([rows[0], rows[2], rows[4], rows[5]])
+    untouched = rows_of(corpus_pipeline.drop_contaminated(spark, docs, FOLDER))
+    assert sorted(untouched) == sorted(r for r in rows if r is not rows[4])
+
+
+def test_mix_of_a_table_loaded_twice(spark):
+    """The stage returns the rows that the mix takes, not all rows of their ids."""
+    rows = [(i // 2, f"a b c d e{i // 2}", "en", f"src{i // 2 % 2}") for i in range(120)]
+    got = rows_of(corpus_pipeline.mix_sources(spark, frame(spark, rows), FOLDER))
+    want = mixed_brute(rows, MIX)
+    assert Counter(r[0] for r in got) == Counter(i for i, *_ in want)
+
+
 def test_mix_takes_rows_with_null_ids(spark):
     rows = [(None if i % 3 else i, f"a b c d e{i}", "en", f"src{i % 2}") for i in range(60)]
     got = rows_of(corpus_pipeline.mix_sources(spark, frame(spark, rows), FOLDER))
