@@ -1,4 +1,7 @@
-"""From raw documents to shards: toxic documents go, near copies go, benchmark passages go, sources are mixed, the rest is sharded."""
+"""From raw documents to shards: toxic documents go, near copies go, benchmark passages go, sources are mixed, the rest is sharded.
+
+Ids may be null or repeat, with equal or with different texts: each stage numbers its rows and decides about rows, not about ids.
+"""
 
 from __future__ import annotations
 
@@ -10,48 +13,72 @@ from ledgerloom.llm.ngram_jaccard import jaccard_components
 from ledgerloom.llm.queries import MIX, SHARDS
 from ledgerloom.llm.sharding import sharded
 from ledgerloom.llm.storage import all_of, free_name, keep, table
-from ledgerloom.llm.toxicity import toxicity
+from ledgerloom.llm.toxicity import THRESHOLD, toxicity_model, toxicity_scores
 
 #: The last stage does not return the columns of documents but the places of documents in shards.
 ORACLE_SQL = None
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a number each, stored with them so that it stays, and the name of that column."""
+    row = free_name(docs, "row")
+    return keep(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
+
+
+def without(rows: DataFrame, found: DataFrame, row: str) -> DataFrame:
+    return rows.join(found.select(row), row, "left_anti").drop(row)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject.  Rows with a null id cannot be named and stay."""
-    judged = toxicity(docs, table(spark, sf_dir, "labels"))
-    return docs.join(judged.filter("predicted = 1").select("doc_id"), "doc_id", "left_anti").select(*all_of(docs))
+    """Rows that the classifier does not reject; null and empty texts stay, an empty table stays empty.
+
+    Long texts are scored whole; rows of equal text go or stay together, whatever their ids.
+    """
+    rows, row = numbered(docs)
+    scored = toxicity_scores(rows, toxicity_model(docs, table(spark, sf_dir, "labels")), row)
+    return without(rows, scored.filter(F.col("score") >= THRESHOLD), row).select(*all_of(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, 0.8): the one that names the group."""
-    groups = jaccard_components(docs, words=5, percent=80)
-    return docs.join(groups.filter("component_id <> doc_id").select("doc_id"), "doc_id", "left_anti").select(*all_of(docs))
+    """One row of each group of near copies (five words, 0.8): that of the smallest id, null ids last, then the first of the table.
+
+    Rows that repeat id and text are copies too.  Null, empty and blank texts have no words, link with nothing and stay.
+    """
+    rows, row = numbered(docs)
+    groups = keep(jaccard_components(rows, row, words=5, percent=80).select(row, "component_id"), "near-copies")
+    # the row that names a group and those linked to it; single rows are not looked at again
+    linked = groups.filter(F.col("component_id") != F.col(row))
+    heads = linked.select(F.col("component_id").alias(row), "component_id").distinct()
+    members = linked.unionByName(heads).join(rows.select(row, F.col("doc_id").alias("id")), row)
+    best = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", F.col(row).alias("stays")))
+    stay = members.groupBy("component_id").agg(best.alias("best")).select(F.col("best.stays").alias(row))
+    gone = linked.select(row).unionByName(heads.select(row)).join(stay, row, "left_anti")
+    return without(rows, gone, row).select(*all_of(docs))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*all_of(docs))
+    """Rows without a benchmark passage; null and empty texts have none, an empty table stays empty.
+
+    Long texts are searched whole; rows of equal text go or stay together, whatever their ids.
+    """
+    rows, row = numbered(docs)
+    return without(rows, contaminated(rows, table(spark, sf_dir, "benchmark"), row), row).select(*all_of(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mix takes at all, whole; one that it takes in several epochs is there several times.
+    """Rows that the mix takes at all, whole; one that it takes in several epochs is there several times.
 
-    Rows with a null id are told apart by a number, stored with them.
+    Texts without words (null, empty, blank) are never taken.  Rows that repeat an id are taken each for itself.
     """
-    times, nth, row = (free_name(docs, c) for c in ("times", "nth", "row"))
-    named = docs.filter("doc_id IS NOT NULL")
-    nameless = keep(docs.filter("doc_id IS NULL").withColumn(row, F.monotonically_increasing_id()), "mix-nameless")
-    read = [F.col(c) for c in ("doc_id", "text", "lang", "source")]
-    both = named.select(*read, F.lit(None).cast("long").alias(row)).unionByName(nameless.select(*read, row))
-    taken = keep(mixed(both, MIX, row_col=row).select("doc_id", F.col("row").alias(row), "epoch"), "mix-taken")
-    count = F.countDistinct("epoch").cast("int").alias(times)
-    again = named.join(taken.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(count), "doc_id").select(*all_of(docs), times)
-    others = nameless.join(taken.filter("doc_id IS NULL").groupBy(row).agg(count), row).select(*all_of(docs), times)
-    return again.unionByName(others).withColumn(nth, F.explode(F.sequence(F.lit(1), times))).select(*all_of(docs))
+    rows, row = numbered(docs)
+    times, nth = free_name(docs, "times"), free_name(docs, "nth")
+    taken = mixed(rows, MIX, row_col=row).groupBy(F.col("row").alias(row)).agg(F.count_distinct("epoch").cast("int").alias(times))
+    again = rows.join(taken, row).withColumn(nth, F.explode(F.sequence(F.lit(1), times)))
+    return again.select(*all_of(docs))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its shard and its place in it."""
+    """Every row with its shard and its place in it; null texts count as empty, rows that repeat have a place each."""
     return sharded(docs, SHARDS)
 
 
@@ -65,6 +92,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again as the next one's input; an empty table gives no rows."""
     docs = table(spark, sf_dir, "documents")
     for n, (_, stage) in enumerate(STAGES):
         docs = keep(stage(spark, docs, sf_dir), f"stage{n}")
