@@ -1,11 +1,13 @@
 """From raw documents to shards: toxic documents go, near copies go, benchmark passages go, sources are mixed, the rest is sharded.
 
-Ids may be null or repeat, with equal or with different texts: each stage numbers its rows and decides about rows, not about ids.
+Ids may be null or repeat, with equal or with different texts: each stage decides about rows, not about ids.  Texts stay where
+they are as far as that goes: no stage copies or shuffles them to drop rows, unless ids repeat or very many rows go.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType
 
 from ledgerloom.llm.decontaminate import contaminated
 from ledgerloom.llm.mixing import mixed
@@ -13,20 +15,35 @@ from ledgerloom.llm.ngram_jaccard import jaccard_components
 from ledgerloom.llm.queries import MIX, SHARDS
 from ledgerloom.llm.sharding import sharded
 from ledgerloom.llm.storage import all_of, free_name, keep, table
-from ledgerloom.llm.toxicity import THRESHOLD, toxicity_model, toxicity_scores
+from ledgerloom.llm.toxicity import THRESHOLD, toxicity_model, toxicity_score
 
 #: The last stage does not return the columns of documents but the places of documents in shards.
 ORACLE_SQL = None
 
 
+#: Up to so many numbers of rows to drop are sent to every executor.
+SENT_ROWS = 1 << 21
+
+
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The rows with a number each, stored with them so that it stays, and the name of that column."""
+    """The rows with a number each, and the name of that column.
+
+    Where ids tell the rows apart they are the numbers; else the rows are stored with numbers, so that these stay.
+    """
     row = free_name(docs, "row")
+    if isinstance(docs.schema["doc_id"].dataType, LongType):
+        n = docs.agg(F.count("*").alias("rows"), F.count_distinct("doc_id").alias("ids")).first()
+        if n.rows == n.ids:
+            return docs.withColumn(row, F.col("doc_id")), row
     return keep(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
 
 
 def without(rows: DataFrame, found: DataFrame, row: str) -> DataFrame:
-    return rows.join(found.select(row), row, "left_anti").drop(row)
+    """The rows whose number was not found; only more than SENT_ROWS numbers meet the rows in a shuffle."""
+    gone = keep(found.select(row).distinct(), "gone")
+    if gone.count() <= SENT_ROWS:
+        gone = F.broadcast(gone)
+    return rows.join(gone, row, "left_anti").drop(row)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +51,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Long texts are scored whole; rows of equal text go or stay together, whatever their ids.
     """
-    rows, row = numbered(docs)
-    scored = toxicity_scores(rows, toxicity_model(docs, table(spark, sf_dir, "labels")), row)
-    return without(rows, scored.filter(F.col("score") >= THRESHOLD), row).select(*all_of(docs))
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    return docs.filter(toxicity_score(spark, F.col("text"), model) < THRESHOLD)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

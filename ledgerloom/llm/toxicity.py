@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .hashing import NO_WORD, Words, blocks, mix, text_bytes
 from .storage import id_bucket
@@ -232,6 +232,21 @@ def toxicity_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(score, f"`{id_col}` long, score double")
 
 
+def toxicity_score(spark: SparkSession, text: Column, model: Model) -> Column:
+    """The score of each row's text as a column, so that whole rows need no key to meet their score again."""
+    shipped = spark.sparkContext.broadcast((model.weight, model.bias))
+
+    @F.arrow_udf("double")
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bags, own = Bags(), Model(*shipped.value)
+        for column in texts:
+            data, offsets = text_bytes(column)
+            parts = [own.scores(bags, data, offsets[first : last + 1]) for first, last in blocks(offsets, BLOCK)]
+            yield pa.array(np.concatenate([np.empty(0), *parts]))
+
+    return score(text)
+
+
 def toxicity_model(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """The model of the labelled rows whose crc32 of the id modulo ``folds`` is not ``held_out``."""
     learn = labels.filter(id_bucket(F.col("doc_id"), folds) != held_out)

@@ -111,3 +111,30 @@ def test_empty_documents(spark):
 
 def test_tokens_are_counted_as_words():
     assert re.findall(TOKEN, " a\tb\u00a0c\n") == ["a", "b\u00a0c"]
+
+
+def test_texts_stay_where_they_are(spark, plan, monkeypatch):
+    """Ids that tell the rows apart are used as they are: rows to drop take no copy and no shuffle of the texts."""
+    stored = []
+    made = corpus_pipeline.keep
+    monkeypatch.setattr(corpus_pipeline, "keep", lambda df, name: stored.append(df.columns) or made(df, name))
+    docs = table(spark, FOLDER, "documents")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.drop_near_copies, corpus_pipeline.drop_contaminated):
+            text = plan(stage(spark, docs, FOLDER))
+            assert not [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "text#" in line]
+            assert "SortMergeJoin" not in text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not [columns for columns in stored if "text" in columns]
+
+
+def test_many_rows_to_drop_and_few(spark, monkeypatch):
+    rows, row = corpus_pipeline.numbered(table(spark, FOLDER, "documents"))
+    found = rows.filter(f"{row} % 3 = 0")
+    few = corpus_pipeline.without(rows, found, row)
+    monkeypatch.setattr(corpus_pipeline, "SENT_ROWS", 1)
+    many = corpus_pipeline.without(rows, found, row)
+    assert rows_of(few.orderBy("doc_id")) == rows_of(many.orderBy("doc_id")) == rows_of(rows.filter(f"{row} % 3 <> 0").orderBy("doc_id"))
