@@ -2,11 +2,12 @@
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.neighbours import exact_neighbours, indexed_neighbours, recall
+from ledgerloom.operators.neighbours import bucketed, exact_neighbours, indexed_neighbours, recall
 from ledgerloom.operators.skew import heavy_keys, join_skewed
 
 COLUMNS = "id long, x array<double>"
@@ -55,6 +56,24 @@ def test_the_index_finds_nearly_all_and_only_true_similarities(spark):
     assert found.groupBy("query").count().filter("count > 5").count() == 0
 
 
+def test_the_index_joins_blocks_and_no_pairs(spark, plan):
+    """No row of the plan is a pair of vectors: the only join is the one of blocks, so pairs are never shuffled or joined again."""
+    df = spark.createDataFrame(vectors(3, 50), COLUMNS)
+    text = plan(indexed_neighbours(df.filter("id % 20 = 0"), df, "id", "x", 5, 16))
+    assert len(re.findall(r"\w*Join|CartesianProduct", text)) == 1 and "HashAggregate" not in text
+
+
+def test_one_vector_many_times(spark, plain_joins):
+    """All rows tie and are in one bucket: the smallest keys win, and the bucket fills no task."""
+    df = spark.range(6000).select("id", F.array(F.lit(1.0), F.lit(2.0)).alias("x"))
+    asked = df.filter("id < 3")
+    want = {(q, key, 1.0, place + 1) for q in range(3) for place, key in enumerate([i for i in range(4) if i != q])}
+    for way in (exact_neighbours, indexed_neighbours):
+        assert {tuple(r) for r in way(asked, df, "id", "x", 3, 2).collect()} == want
+    parts = bucketed(df.select(F.col("id").alias("key"), F.col("x").alias("v")), 2, 2).groupBy(F.spark_partition_id()).count()
+    assert max(r["count"] for r in parts.collect()) < 2000
+
+
 def test_no_rows_or_no_queries(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0])], COLUMNS)
     none = df.filter("id < 0")
