@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: A term in all documents is dealt out to so many pieces.
-PIECES = 32
+#: A term in more than one in so many documents is common; so there are fewer than that many times the mean number of terms of a document.
+COMMON = 1024
 TERM = r"([\p{L}\p{N}]+)"
 
 
@@ -18,39 +18,32 @@ def terms_of(text: Column) -> Column:
 
 
 def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, n)."""
-    terms = df.select(key, F.explode(terms_of(F.col(text))).alias("term"))
-    # said here, as a join on the term would add it for itself and so make the counts another shuffle
+    """(key, term, n).  The terms of a row move as one list, to where the rows of its key are counted."""
+    listed = df.select(key, terms_of(F.col(text)).alias("_terms")).repartition(key)
+    terms = listed.select(key, F.explode("_terms").alias("term"))
     return terms.filter("term IS NOT NULL").groupBy(key, "term").agg(F.count("*").alias("n"))
 
 
 def term_rarity(counts: DataFrame, documents: DataFrame) -> DataFrame:
-    """(term, rarity, pieces); ``documents`` is the whole table, as some may hold no term.
-
-    ``pieces`` is over 1 for terms in more than one in ``PIECES`` documents; they are fewer than that many times the mean number of
-    terms of a document, whatever the table.
-    """
+    """(term, rarity, common); ``documents`` is the whole table, as some may hold no term."""
     total = documents.select(F.count("*").alias("n")).scalar()
-    # the counts are read here so that this is the same shuffle as that of the weights, which then runs once
-    holding = counts.groupBy("term").agg(F.count(F.when(F.col("n") > 0, 1)).alias("holding"))
-    pieces = F.ceil(F.col("holding") * PIECES / F.greatest(total, F.lit(1))).cast("int")
-    return holding.select("term", F.ln((total + 1) / (F.col("holding") + 1)).alias("rarity"), pieces.alias("pieces"))
+    holding = counts.groupBy("term").agg(F.count("*").alias("holding"))
+    return holding.select("term", F.ln((total + 1) / (F.col("holding") + 1)).alias("rarity"), (F.col("holding") * COMMON > total).alias("common"))
 
 
 def term_weights(counts: DataFrame, rarity: DataFrame, deal: bool = True) -> DataFrame:
     """(..., term, weight) of the terms that ``rarity`` knows.
 
-    With ``deal`` the rows of a common term are dealt out to its pieces, and its rarity is copied for each.
+    With ``deal`` the common terms are broadcast, so that their rows stay with those of their document; only rows of the
+    others meet their rarity in a shuffle.
     """
     if not deal:
-        joined = counts.join(rarity.drop("pieces"), "term")
+        joined = counts.join(rarity.drop("common"), "term")
     else:
-        spread = [c for c in counts.columns if c != "term"]
-        common = F.broadcast(rarity.filter("pieces > 1").select("term", "pieces"))
-        piece = F.pmod(F.xxhash64(*spread), F.coalesce("pieces", F.lit(1))).cast("int").alias("piece")
-        dealt = counts.join(common, "term", "left").select(*counts.columns, piece)
-        copied = rarity.select("term", "rarity", F.explode(F.sequence(F.lit(0), F.greatest("pieces", F.lit(1)) - 1)).alias("piece"))
-        joined = dealt.join(copied, ["term", "piece"]).drop("piece")
+        few = F.broadcast(rarity.filter("common").select("term", "rarity"))
+        met = counts.join(few, "term", "left")
+        others = met.filter("rarity IS NULL").drop("rarity").join(rarity.filter("NOT common").drop("common"), "term")
+        joined = met.filter("rarity IS NOT NULL").unionByName(others)
     return joined.withColumn("weight", F.col("n") * F.col("rarity")).drop("n", "rarity")
 
 
