@@ -57,7 +57,7 @@ def text_similarity(weights: DataFrame, key: str, asked: DataFrame) -> DataFrame
     Only the search text's terms are looked up; a document is down to one row before anything meets.
     """
     wanted = asked.select("term", F.col("weight").alias("_asked"))
-    joined = weights.join(wanted, "term", "left")
+    joined = weights.join(F.broadcast(wanted), "term", "left")
     sums = joined.groupBy(key).agg(length().alias("_length"), F.sum(F.col("weight") * F.col("_asked")).alias("_dot"))
     asked_length = asked.select(length().alias("l")).scalar()
     both = F.col("_length") * asked_length

@@ -132,3 +132,13 @@ def test_a_term_of_every_document_fills_no_task(spark, plain_joins):
     assert sum(sizes) == 12_000 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
     assert weights.filter("term = 'the'").agg(F.max(F.abs("weight"))).first()[0] == 0.0
     assert term_weights(counts, term_rarity(counts, docs), deal=False).exceptAll(weights).count() == 0
+
+
+@pytest.mark.parametrize("name", ["text_vectors", "most_similar_text"])
+def test_rows_of_common_terms_are_not_shuffled(spark, plan, plain_joins, name):
+    """Lists of terms move once, by document; rows per term only for the rare ones, to one join."""
+    from ledgerloom.plans import registry
+
+    text = plan(registry.QUERIES[name](spark, "/root/testdata/sf0.001"))
+    assert not re.findall(r"Exchange hashpartitioning\(doc_id#\d+L?, term#", text)
+    assert len(re.findall(r"SortMergeJoin \[term#", text)) <= (1 if name == "text_vectors" else 3)
