@@ -259,3 +259,15 @@ print("rows", len(registry.QUERIES["page_entries"](spark, "/root/testdata/sf0.00
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "rows 281" in done.stdout, done.stderr[-2000:]
+
+
+def test_pages_are_objects_a_few_at_a_time(spark, monkeypatch):
+    """A task turns a slice of its pages into Python objects, not the whole batch; null numbers and addresses stay null."""
+    page = "<ul><li><a href='/wiki/A'>a</a> b</li></ul>"
+    rows = [(None if n == 7 else n, None if n == 8 else "http://x/y", page) for n in range(1000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    items = html.page_items(pages)
+    assert "MapInArrow" in items._jdf.queryExecution().toString() and html.PAGES_AT_ONCE < 1000
+    found = items.select("page_id", "url", "list_no", "item_no", "raw_text", "anchors").collect()
+    assert [(r.page_id, r.url) for r in found] == [r[:2] for r in rows]
+    assert all(r.raw_text == "a b" and len(r.anchors) == 1 for r in found)
