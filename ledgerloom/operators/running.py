@@ -26,14 +26,17 @@ def _sums(df: DataFrame, keys: list[str], order: list[str], value: str, out: str
     earlier = f"_before_{len(levels)}"
     totals = df.groupBy(*keys, *levels).agg(F.sum(value).alias("_total"))
     totals = _sums(totals, keys, levels, "_total", earlier, levels[:-1], ROWS_BEFORE)
-    within = F.sum(value).over(Window.partitionBy("_chunk").orderBy(*order).rowsBetween(*rows))
+    # rows move with their keys and levels in the chunk only, which is one value in all rows that are ordered together
+    own = {*keys, *levels}
+    inside = Window.partitionBy("_chunk").orderBy(*[c for c in order if c not in own])
+    within = F.sum(value).over(inside.rowsBetween(*rows))
     # Null fields of equal structs compare as equal, which keeps null keys in the join.
     return (
-        df.withColumn("_chunk", chunk)
+        df.select(chunk.alias("_chunk"), *[c for c in df.columns if c not in own])
         .withColumn("_within", within)
         .join(totals.select(chunk.alias("_chunk"), earlier), "_chunk")
         .withColumn(out, F.coalesce(F.col("_within") + F.col(earlier), "_within", earlier))
-        .drop("_chunk", "_within", earlier)
+        .select(*[F.col("_chunk").getField(c).alias(c) if c in own else c for c in df.columns], out)
     )
 
 

@@ -1,6 +1,7 @@
 """Running totals against a plain loop, with a key that holds most rows, null keys and many chunks."""
 
 import random
+import re
 from collections import defaultdict
 from decimal import Decimal
 
@@ -100,3 +101,11 @@ def test_value_steps_grow_with_the_value(spark):
     nan = spark.range(1).select(value_step(F.lit(float("nan"))).alias("s")).first().s
     assert nan > max(steps)
     assert len(set(steps)) >= len(values) - 1
+
+
+def test_keys_and_levels_move_once(table, plan):
+    """The shuffle of the rows holds them in the chunk only, not a second time as columns."""
+    text = plan(running_total(table, ["k"], ["day", "id"], "v", "t", ["day", "block"]))
+    output = [re.search(r"\+- Project \[(.*)\]", text[m.start() :]).group(1) for m in re.finditer(r"Exchange hashpartitioning\(_chunk#", text)]
+    rows = [columns for columns in output if "struct(" in columns and ", id#" in columns]
+    assert rows and not [c for columns in rows for c in re.sub(r"struct\(.*?\) AS _chunk#\d+", "", columns).split(", ") if re.match(r"(k|day|block)#", c)]
